@@ -21,9 +21,8 @@ from zonara.llm.common import checkpointed
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
-PRIOR, STRENGTH, STEPS = 0.85, 4.0, 60
-#: At the start a rule is right about nearly all good documents and catches a fifth of the bad ones: junk is mostly of one kind.
-START = (0.995, 0.2)
+#: EM starts with this share of junk; a rule votes good for so many of the good, of its own junk and of other junk.
+JUNK, GOOD, CAUGHT, OTHER, STRENGTH, STEPS = 0.15, 0.995, 0.1, 0.8, 4.0, 60
 BASE_FAILED = "n_words < 10 or 100 * n_repeat_words > 20 * n_words"
 
 
@@ -82,45 +81,67 @@ def rules() -> dict[str, Column]:
     }
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[tuple[float, float]]]:
-    """Prior of good and, for each rule, P(votes good | good) and P(votes bad | bad), by EM over pattern counts."""
-    prior, rates = PRIOR, [START] * n_rules
+Model = list[tuple[float, list[float]]]
+
+
+def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> Model:
+    """For each class its share and, for each rule, P(votes good | class, votes), by EM over pattern counts. Class 0 is good;
+    class r + 1 is the junk that rule r is there to catch, since junk is mostly of one kind and passes the other rules."""
+    start = [1 - JUNK, *[JUNK / n_rules] * n_rules]
+    rates = [[GOOD] * n_rules] + [[CAUGHT if r == c else OTHER for r in range(n_rules)] for c in range(n_rules)]
+    model = list(zip(start, rates))
     for _ in range(STEPS):
-        mass = [[STRENGTH * START[0], STRENGTH * (1 - START[0]), STRENGTH * START[1], STRENGTH * (1 - START[1])] for _ in range(n_rules)]
-        good, total = STRENGTH * PRIOR, STRENGTH
+        up = [[STRENGTH * x for x in own] for own in rates]
+        down = [[STRENGTH * (1 - x) for x in own] for own in rates]
+        mass = [STRENGTH * x for x in start]
         for votes, n in patterns:
-            p = posterior(votes, prior, rates)
-            good, total = good + p * n, total + n
-            for r, v in enumerate(votes):
-                if v:
-                    mass[r][0 if v > 0 else 1] += p * n
-                    mass[r][3 if v > 0 else 2] += (1 - p) * n
-        prior, rates = good / total, [(a / (a + b), c / (c + d)) for a, b, c, d in mass]
-    return prior, rates
+            for c, p in enumerate(shares(votes, model)):
+                mass[c] += p * n
+                for r, v in enumerate(votes):
+                    if v > 0:
+                        up[c][r] += p * n
+                    elif v < 0:
+                        down[c][r] += p * n
+        model = [(mass[c] / sum(mass), [limited(c, r, u / (u + d)) for r, (u, d) in enumerate(zip(up[c], down[c]))]) for c in range(n_rules + 1)]
+    return model
+
+
+def limited(c: int, r: int, rate: float) -> float:
+    """A rule is right about 99 of 100 good documents at least, and about half of the junk that it is there for."""
+    return min(0.9999, max(0.99, rate)) if c == 0 else min(0.5, max(0.01, rate)) if r == c - 1 else min(0.99, max(0.01, rate))
 
 
-def weights(prior: float, rates: list[tuple[float, float]]) -> tuple[float, list[tuple[float, float]]]:
-    """The log-odds of good: of the prior, and of a good and a bad vote of each rule."""
-    return math.log(prior / (1 - prior)), [(math.log(a / (1 - b)), math.log((1 - a) / b)) for a, b in rates]
+def log_weights(model: Model) -> list[tuple[float, list[tuple[float, float]]]]:
+    return [(math.log(share), [(math.log(x), math.log(1 - x)) for x in own]) for share, own in model]
 
 
-def posterior(votes, prior: float, rates) -> float:
-    start, each = weights(prior, rates)
-    odds = start + sum(w[0 if v > 0 else 1] for v, w in zip(votes, each) if v)
-    return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
+def shares(votes, model: Model) -> list[float]:
+    """The posterior of each class."""
+    logs = [s + sum(w[0 if v > 0 else 1] for v, w in zip(votes, each) if v) for s, each in log_weights(model)]
+    top = max(logs)
+    odds = [math.exp(x - top) for x in logs]
+    return [x / sum(odds) for x in odds]
 
 
 def judged(measures: DataFrame) -> DataFrame:
     """Adds base_failed, p_good and kept. The measures are read twice: checkpoint them before, or accept a second pass."""
-    names = list(rules())
-    counted = measures.select(*(c.alias(f"_v{i}") for i, c in enumerate(rules().values()))).groupBy(*(f"_v{i}" for i in range(len(names)))).count().collect()
-    prior, rates = fit(sorted((tuple(r[:-1]), r[-1]) for r in counted), len(names))
-    start, each = weights(prior, rates)
-    odds = F.lit(start)
-    for column, (up, down) in zip(rules().values(), each):
-        odds = odds + F.when(column == 1, F.lit(up)).when(column == -1, F.lit(down)).otherwise(F.lit(0.0))
+    n = len(rules())
+    voted = measures.withColumns({f"_v{i}": c for i, c in enumerate(rules().values())})
+    counted = voted.groupBy(*(f"_v{i}" for i in range(n))).count().collect()  # 3 ** n rows at most
+    model = log_weights(fit(sorted((tuple(r[:-1]), r[-1]) for r in counted), n))
+
+    def odds(c: int) -> Column:
+        """Of junk class c against good."""
+        total = F.lit(model[c][0] - model[0][0])
+        for i in range(n):
+            (up, down), (up0, down0) = model[c][1][i], model[0][1][i]
+            total = total + F.when(F.col(f"_v{i}") == 1, F.lit(up - up0)).when(F.col(f"_v{i}") == -1, F.lit(down - down0)).otherwise(F.lit(0.0))
+        return F.exp(total)
+
+    junk = sum((odds(c) for c in range(2, n + 1)), odds(1))
     failed = F.expr(BASE_FAILED)
-    return measures.withColumns({"base_failed": failed, "p_good": F.lit(1.0) / (F.lit(1.0) + F.exp(-odds)), "kept": ~failed & (odds >= 0)})
+    scored = voted.withColumns({"base_failed": failed, "p_good": F.lit(1.0) / (F.lit(1.0) + junk)}).drop(*(f"_v{i}" for i in range(n)))
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
