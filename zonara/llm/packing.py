@@ -122,7 +122,7 @@ def combinations(counts: np.ndarray) -> list[tuple[int, ...]]:
             if counts[rest] and parts:
                 parts, rest = [*parts, rest], 0
                 break
-            if not (most := sums[rest]):
+            if not (most := sums[min(rest, WINDOW - 1)]):
                 break
             a = int(np.searchsorted(sums, rng.integers(most), side="right"))
             parts.append(a)
@@ -214,7 +214,7 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     room = F.lit(WINDOW) - F.col("at") % WINDOW
     sequence = F.lit(n_sequences) + F.floor(F.col("at") / WINDOW).cast("long")
     whole = left.filter(F.col("length") <= room).select(*columns, sequence.alias("sequence_id"), (F.col("at") % WINDOW).alias("offset"))
-    cut = left.filter(F.col("length") > room).select("doc_id", "text_key", "start", "length", room.alias("first"), sequence.alias("sequence"), F.monotonically_increasing_id().alias("piece"))
+    cut = left.filter(F.col("length") > room).select("doc_id", "text_key", "start", "length", room.alias("first"), sequence.alias("sequence"))
     made_encoder = encoder(spark, tokenizer_path)
 
     def begin():
