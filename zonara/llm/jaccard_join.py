@@ -118,7 +118,7 @@ def sketch(profiles: DataFrame) -> np.ndarray:
     parts = profiles.filter("block is not null").select("block", "task", "counts")
     tasks = 1 + (parts.agg(F.max("task")).head()[0] or 0)
     while tasks > 1:  # FAN_IN arrays of a fixed size at most meet in one task
-        parts = parts.groupBy("block", F.floor(F.col("task") / FAN_IN).cast("int").alias("task")).applyInArrow(added, "block int, task int, counts binary")
+        parts = parts.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int")).groupBy("block", "task").applyInArrow(added, "block int, task int, counts binary")
         tasks = -(-tasks // FAN_IN)
     counts = np.zeros((BLOCKS, BUCKETS // BLOCKS), np.uint32)
     for block, data in parts.select("block", "counts").collect():
