@@ -8,7 +8,8 @@ trust them. Terms are whole words and the first STEM letters of words, kept if t
 significantly more frequent in toxic documents of the sample.
 
 The sample is bounded: PER_CLASS labelled documents of each class at most, the first by a
-hash of their id, and WORDS distinct words of each. Predictions read whole texts.
+hash of their id. Their terms are counted by Spark; the driver gets the TERMS terms and,
+for each document of the sample, which of them it holds. Predictions read whole texts.
 Defined cases: a null text is an empty one; with no label of either class nothing is
 toxic; labels that are null or contradict each other for an id are left out; repeated
 rows are judged alike.
@@ -17,17 +18,16 @@ rows are judged alike.
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.common import map_rows
+from zonara.llm.common import checkpointed, map_rows
 
-PER_CLASS, WORDS, TERMS, STEM, SEVERE, FOLDS = 4000, 2000, 400, 5, 3, 5
-LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-3, 300
+PER_CLASS, TERMS, STEM, SEVERE, FOLDS = 4000, 400, 5, 3, 5
+LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-5, 400
 WORD = re.compile(r"[^\W\d_]+")
 CATEGORIES = ("abusive", "severe", "toxic")
 
@@ -37,28 +37,25 @@ def terms_of(text: str | None) -> set[str]:
     return found | {"^" + w[:STEM] for w in found if len(w) > STEM}
 
 
-def chosen(sets: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Terms with a large z-score of the difference of their document shares, the largest first."""
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    counts: dict[str, list[int]] = {}
-    for s, y in zip(sets, toxic):
-        for w in s:
-            counts.setdefault(w, [0, 0])[int(y)] += 1
-    scored = []
-    for w, (a0, a1) in counts.items():
-        if a1 >= LEAST_DOCS:
-            share = (a0 + a1) / (n0 + n1)
-            z = (a1 / n1 - a0 / n0) / max(1e-9, (share * (1 - share) * (1 / n0 + 1 / n1)) ** 0.5)
-            if z >= LEAST_Z and a1 / n1 >= 4 * a0 / n0:
-                scored.append((-z, w))
-    return [w for _, w in sorted(scored)[:TERMS]]
+def chosen(sample: DataFrame) -> list[str]:
+    """Of a sample (toxic, terms), the terms with a large z-score of the difference of their document shares, the largest first."""
+    size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n1, n0 = size.get(1, 0), size.get(0, 0)
+    if not n1 or not n0:
+        return []
+    counts = sample.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a1"), F.sum(1 - F.col("toxic")).alias("a0"))
+    share = (F.col("a0") + F.col("a1")) / (n0 + n1)
+    apart = F.col("a1") / n1 - F.col("a0") / n0
+    z = apart / F.sqrt(F.greatest(share * (1 - share) * (1 / n0 + 1 / n1), F.lit(1e-18)))
+    clear = counts.filter((F.col("a1") >= LEAST_DOCS) & (F.col("a1") / n1 >= 4 * F.col("a0") / n0)).withColumn("z", F.round(z, 9)).filter(F.col("z") >= LEAST_Z)
+    return [r["term"] for r in clear.orderBy(F.col("z").desc(), "term").limit(TERMS).collect()]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = STEPS) -> np.ndarray:
     """Weights (the last is the intercept), by accelerated gradient descent with an L2 penalty."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     rate = 4.0 / max(1e-9, (x * x).sum(1).mean() + 4 * L2)
-    w = last = np.zeros(x.shape[1])
+    w = last = np.zeros(x.shape[1], np.float32)
     for k in range(steps):
         ahead = w + k / (k + 3) * (w - last)
         p = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30)))
@@ -72,8 +69,8 @@ def apply(w: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 class Chain:
-    def __init__(self, sets: list[set[str]], toxic: np.ndarray, folds: np.ndarray):
-        self.terms = chosen(sets, toxic) if len(set(toxic.tolist())) == 2 else []
+    def __init__(self, terms: list[str], sets: list[set[str]], toxic: np.ndarray, folds: np.ndarray):
+        self.terms = terms
         self.at = {w: k for k, w in enumerate(self.terms)}
         self.models: list[np.ndarray] = []
         if not self.terms:
@@ -82,7 +79,7 @@ class Chain:
         hits = x.sum(1)
         targets = {"abusive": toxic & (hits >= 1), "severe": toxic & (hits >= SEVERE), "toxic": toxic}
         for name in CATEGORIES:
-            y, out_of_fold = targets[name].astype(float), np.zeros(len(x))
+            y, out_of_fold = targets[name].astype(np.float32), np.zeros(len(x), np.float32)
             for f in range(FOLDS):
                 held = folds == f
                 if held.any() and (~held).any():
@@ -91,7 +88,7 @@ class Chain:
             x = np.hstack([x, out_of_fold[:, None]])
 
     def features(self, sets: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(sets), len(self.terms)))
+        x = np.zeros((len(sets), len(self.terms)), np.float32)
         for k, s in enumerate(sets):
             x[k, [self.at[w] for w in s & self.at.keys()]] = 1
         return x
@@ -112,17 +109,13 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Chain:
     ids = known.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= PER_CLASS).select("doc_id", "toxic")
 
     def start():
-        return lambda ids, toxic, texts: ((i, y, bottom(set(WORD.findall(t.lower())))) for i, y, t in zip(ids, toxic, texts) if t)
+        return lambda ids, toxic, texts: ((i, y, sorted(terms_of(t))) for i, y, t in zip(ids, toxic, texts) if t)
 
-    got = map_rows(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), ["doc_id", "toxic", "text"], "doc_id long, toxic long, words array<string>", start).collect()
-    got.sort(key=lambda r: (r[0], r[2]))
-    sets = [set(r[2]) | {"^" + w[:STEM] for w in r[2] if len(w) > STEM} for r in got]
-    return Chain(sets, np.array([r[1] == 1 for r in got], bool), np.array([r[0] % FOLDS for r in got], np.int64))
-
-
-def bottom(words: set[str]) -> list[str]:
-    """WORDS of them at most, the first by a hash."""
-    return sorted(words, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w))[:WORDS]
+    sample = checkpointed(map_rows(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), ["doc_id", "toxic", "text"], "doc_id long, toxic long, terms array<string>", start))
+    terms = chosen(sample)
+    held = F.array_intersect("terms", F.lit(terms)) if terms else F.array().cast("array<string>")
+    got = sorted(sample.select("doc_id", "toxic", held.alias("terms")).collect())
+    return Chain(terms, [set(r[2]) for r in got], np.array([r[1] == 1 for r in got], bool), np.array([r[0] % FOLDS for r in got], np.int64))
 
 
 def scored(docs: DataFrame, chain: Chain, columns: list[str]) -> DataFrame:
