@@ -1,4 +1,6 @@
 """The queries and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from zonara.plans.queries import QUERIES
+from zonara.plans.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
