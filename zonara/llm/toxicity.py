@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from zonara.llm.common import checkpointed, map_rows
 
-PER_CLASS, TERMS, STEM, SEVERE, FOLDS = 4000, 400, 5, 3, 5
-LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-5, 400
+PER_CLASS, TERMS, STEM, SEVERE, FOLDS = 2000, 200, 5, 3, 5
+LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-5, 300
 WORD = re.compile(r"[^\W\d_]+")
 CATEGORIES = ("abusive", "severe", "toxic")
 
