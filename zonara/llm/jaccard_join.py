@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ from zonara.llm.common import cached_state, checkpointed, map_rows, small_batche
 BUCKETS, BLOCKS, FAN_IN = 1 << 21, 64, 64
 WORDS = 16  # 64-bit words of a parity bitmap
 BROADCAST_ROWS = 50_000
+SETS_KEPT = 32  # in a task, while pairs are verified
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -160,30 +163,44 @@ def possible(percent: int, x: str = "", y: str = "_h"):
     return sizes & places & (c("n", x) + c("n", y) - apart >= 2 * least)
 
 
-def sets_of(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """node, members: made again from one text of each node asked for."""
+def texts_of(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """node, packed: one compressed text of each node asked for. A text is a third of its set's size, so it travels instead."""
     asked = checkpointed(profiles.join(nodes, "node", "left_semi").groupBy("node").agg(F.max(F.struct("doc_id", "key")).alias("one")).select(F.col("one.doc_id").alias("_id"), F.col("one.key").alias("_key")))
-    asked = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    texts = keyed.join(asked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
+    if asked.count() <= BROADCAST_ROWS:
+        keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+        docs = keyed.join(F.broadcast(asked), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
 
     def start():
+        pack = zstandard.ZstdCompressor().compress
+
         def each(texts):
             for t in texts:
-                s = shingles(t, width)
-                yield node(s), s.view(np.int64)
+                if len(s := shingles(t, width)):
+                    yield node(s), pack(t.encode("utf-8", "surrogatepass"))
 
         return each
 
-    return map_rows(texts, ["text"], "node binary, members array<long>", start).dropDuplicates(["node"])
+    return map_rows(docs, ["text"], "node binary, packed binary", start).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """u, v of the pairs whose sets, made again from their texts, reach the threshold."""
+    x, y = texts.select(F.col("node").alias("u"), F.col("packed").alias("pu")), texts.select(F.col("node").alias("v"), F.col("packed").alias("pv"))
 
+    def start():
+        unpack = zstandard.ZstdDecompressor().decompress
+        made = lru_cache(SETS_KEPT)(lambda packed: shingles(unpack(packed).decode("utf-8", "surrogatepass"), width))
+
+        def each(us, vs, pus, pvs):
+            for u, v, pu, pv in zip(us, vs, pus, pvs):
+                a, b = made(pu), made(pv)
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    yield u, v
+
+        return each
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """u, v of the pairs whose sets reach the threshold."""
-    x, y = sets.select(F.col("node").alias("u"), F.col("members").alias("mu")), sets.select(F.col("node").alias("v"), F.col("members").alias("mv"))
-    both = pairs.join(x, "u").join(y, "v")
-    shared = F.size(F.array_intersect("mu", "mv"))
-    return both.filter(100 * shared >= percent * (F.size("mu") + F.size("mv") - shared)).select("u", "v")
+    return map_rows(pairs.join(x, "u").join(y, "v"), ["u", "v", "pu", "pv"], "u binary, v binary", start)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -219,7 +236,7 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFram
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = checkpointed(pairs)
         nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-        return checkpointed(verified(pairs, checkpointed(sets_of(docs, profiles, nodes, width)), percent))
+        return checkpointed(verified(pairs, checkpointed(texts_of(docs, profiles, nodes, width)), width, percent))
 
     head = F.first(F.struct("node", "pos", "n", "bits")).over(of.orderBy("pos", "node"))
     near = lists.withColumn("h", head).select("*", *(F.col(f"h.{c}").alias(f"{c}_h") for c in ("node", "pos", "n", "bits")))
