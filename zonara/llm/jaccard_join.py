@@ -141,7 +141,7 @@ def index(docs: DataFrame, width: int, percent: int, rank: np.ndarray) -> DataFr
                 s = shingles(t, width)
                 if not (n := len(s)):
                     continue
-                order = np.lexsort((s, sent.value[(s >> np.uint64(43)).astype(np.int64)]))[: n - -(-percent * n // 100) + 1]
+                order = np.argsort(sent.value[(s >> np.uint64(43)).astype(np.int64)], kind="stable")[: n - -(-percent * n // 100) + 1]
                 k = len(order)
                 nodes += [node(s)] * k
                 for part, x in zip(parts, (s[order].view(np.int64), np.arange(k, dtype=np.int32), np.full(k, n, np.int32))):
