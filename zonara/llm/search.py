@@ -4,9 +4,10 @@ Document frequencies, the number of documents and the mean length are of the who
 so scores of all shards compare. Documents are dealt to shards by a hash; a shard's rows
 reach one task in order, documents first, so that it builds its index once and then
 streams any number of queries past it. A query sums the postings of its rare terms;
-for its frequent terms the index holds the largest impact in each block of documents. Blocks
-are taken in order of their upper bound and the search ends when the next bound cannot
-reach the k-th best score, as in block-max WAND with the block as the pivot.
+for its frequent terms the index holds the largest impact in each block of documents. A
+document's bound is its rare terms' sum plus its block's largest impacts. The documents of
+the largest bounds are scored first; of the others only those whose bound can reach the
+k-th best score, as in block-max WAND.
 
 Defined cases: a null text has no words, is counted as a document, never found and finds
 nothing; equal scores (to DIGITS digits) rank by doc_id, null last; a query row repeated in
@@ -26,7 +27,7 @@ from zonara.llm.common import cached_state, checkpointed, map_rows, small_batche
 from zonara.llm.licences import words
 
 K1, B, DIGITS = 1.2, 0.75, 6
-SHARD_WORDS, BLOCK, FREQUENT, AT_ONCE = 4_000_000, 64, 8, 8
+SHARD_WORDS, BLOCK, FREQUENT, FIRST = 6_000_000, 16, 8, 4
 FLUSH = 2_000_000
 
 
@@ -85,10 +86,10 @@ class Index:
         often = np.flatnonzero(self.stop - self.start >= max(2, n // FREQUENT))
         self.row = np.full(len(self.terms), -1)
         self.row[often] = np.arange(len(often))
-        self.dense = np.zeros((len(often), n))
+        self.dense = np.zeros((n, len(often)))
         for k, t in enumerate(often):
-            self.dense[k, self.doc[self.start[t] : self.stop[t]]] = self.impact[self.start[t] : self.stop[t]]
-        self.top = np.maximum.reduceat(self.dense, self.blocks, axis=1) if len(often) else np.zeros((0, len(self.blocks)))
+            self.dense[self.doc[self.start[t] : self.stop[t]], k] = self.impact[self.start[t] : self.stop[t]]
+        self.top = np.maximum.reduceat(self.dense, self.blocks, axis=0)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
         """(place, score) of all documents that can be among the k best, the best first."""
@@ -103,23 +104,18 @@ class Index:
             parts = [slice(a, z) for a, z in zip(self.start[own].tolist(), self.stop[own].tolist())]
             each = np.repeat(w, self.stop[own] - self.start[own])
             score += np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.impact[p] for p in parts]) * each, len(score))
-        rows, w = self.row[at[~rare]], weights[~rare]
-        bound = np.maximum.reduceat(score, self.blocks) + w @ self.top[rows]
-        order = np.argsort(-bound, kind="stable")
-        best: list[tuple[float, int]] = []
-        least, slack = 0.0, 10.0**-DIGITS
-        for a in range(0, len(order), AT_ONCE):
-            if bound[order[a]] <= 0 or len(best) >= k and bound[order[a]] < least - slack:
-                break
-            docs = np.concatenate([np.arange(s, min(s + BLOCK, len(score))) for s in self.blocks[order[a : a + AT_ONCE]].tolist()])
-            full = score[docs] + (w @ self.dense[np.ix_(rows, docs)] if len(rows) else 0.0)
-            keep = full > (least - slack if len(best) >= k else 0.0)
-            best += zip(full[keep].tolist(), docs[keep].tolist())
-            best.sort(reverse=True)
-            if len(best) >= k:
-                least = best[k - 1][0]
-                best = [b for b in best if b[0] >= least - slack]
-        return [(d, s) for s, d in best if s > 0]
+        w = np.zeros(self.dense.shape[1])
+        w[self.row[at[~rare]]] = weights[~rare]
+        bound = score + np.repeat(self.top @ w, BLOCK)[: len(score)]
+        first = np.argpartition(-bound, FIRST * k)[: FIRST * k] if len(bound) > FIRST * k else np.arange(len(bound))
+        full = score[first] + self.dense[first] @ w
+        least, slack = np.sort(full)[-k] if len(full) >= k else 0.0, 10.0**-DIGITS
+        bound[first] = -1
+        rest = np.flatnonzero(bound >= max(least - slack, 0.0))
+        full, docs = np.concatenate([full, score[rest] + self.dense[rest] @ w]), np.concatenate([first, rest])
+        keep = np.flatnonzero((full > 0) & (full >= (np.sort(full)[-k] if len(full) >= k else 0.0) - slack))
+        keep = keep[np.argsort(-full[keep], kind="stable")]
+        return list(zip(docs[keep].tolist(), full[keep].tolist()))
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -157,6 +153,6 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], ["query_id", "key", "doc_id", "score"])
 
-    found = rows.unionByName(dealt).repartition(shards, "shard").sortWithinPartitions("shard", "kind", "id").mapInArrow(run, "query_id long, key long, doc_id long, score double")
+    found = rows.unionByName(dealt).repartitionById(shards, "shard").sortWithinPartitions("shard", "kind", "id").mapInArrow(run, "query_id long, key long, doc_id long, score double")
     best = Window.partitionBy("query_id", "key").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     return found.withColumn("score", F.round("score", DIGITS)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
