@@ -7,7 +7,8 @@ threshold share a shingle among their rarest few, so only these go into the inde
 
 Skipping in the index: an index list is ordered by the shingle's position in its sets.
 A pair is looked at only if the positions, the sizes and the parity bitmaps of the two
-sets leave room for the overlap it needs (all three are exact bounds).
+sets leave room for the overlap it needs (all three are exact bounds). An entry without
+any other set of a fitting size in its list is skipped before bitmaps are fetched.
 Skipping in the answers: the set at the head of a list, the one with the fewest rarer
 shingles, is compared with the others first. Sets that link to it share its component,
 which is all that is asked, so pairs within a component are not looked at again; only
@@ -38,6 +39,7 @@ BUCKETS, BLOCKS, FAN_IN = 1 << 21, 64, 64
 WORDS = 16  # 64-bit words of a parity bitmap
 BROADCAST_ROWS = 50_000
 SETS_KEPT = 32  # in a task, while pairs are verified
+SEEN = 100_000  # digests of texts that a task remembers
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -135,9 +137,15 @@ def index(docs: DataFrame, width: int, percent: int, rank: np.ndarray) -> DataFr
     sent = docs.sparkSession.sparkContext.broadcast(rank)
 
     def run(batches):
+        seen = set()
         for batch in batches:
             parts, nodes = [[], [], []], []
             for t in batch.column(0).to_pylist():
+                if (key := xxhash.xxh3_128_digest((t or "").encode("utf-8", "surrogatepass"))) in seen:
+                    continue  # a copy's entries would be the same; later steps remove those of other tasks
+                if len(seen) == SEEN:
+                    seen.clear()
+                seen.add(key)
                 s = shingles(t, width)
                 if not (n := len(s)):
                     continue
@@ -153,14 +161,34 @@ def index(docs: DataFrame, width: int, percent: int, rank: np.ndarray) -> DataFr
     return docs.select("text").mapInArrow(run, "token long, node binary, pos int, n int")
 
 
-def possible(percent: int, x: str = "", y: str = "_h"):
-    """Whether two entries of a list can belong to linked sets, by sizes, positions and bitmaps."""
+def fitting(percent: int, x: str = "", y: str = "_h"):
+    """Whether two entries of a list can belong to linked sets, by sizes and positions."""
     c = lambda name, side: F.col(f"{name}{side}")
-    least = F.expr(f"-floor(-{percent} * (n{x} + n{y}) / {100 + percent})")
     sizes = (100 * c("n", x) >= percent * c("n", y)) & (100 * c("n", y) >= percent * c("n", x))
-    places = F.least(c("n", x) - c("pos", x), c("n", y) - c("pos", y)) >= least
+    return sizes & (F.least(c("n", x) - c("pos", x), c("n", y) - c("pos", y)) >= least_overlap(percent, x, y))
+
+
+def least_overlap(percent: int, x: str, y: str):
+    return F.expr(f"-floor(-{percent} * (n{x} + n{y}) / {100 + percent})")
+
+
+def alike(percent: int, x: str = "", y: str = "_h"):
+    """Whether the bitmaps of two sets leave room for the overlap they need."""
+    c = lambda name, side: F.col(f"{name}{side}")
     apart = sum((F.bit_count(c("bits", x)[k].bitwiseXOR(c("bits", y)[k])) for k in range(1, WORDS)), F.bit_count(c("bits", x)[0].bitwiseXOR(c("bits", y)[0])))
-    return sizes & places & (c("n", x) + c("n", y) - apart >= 2 * least)
+    return c("n", x) + c("n", y) - apart >= 2 * least_overlap(percent, x, y)
+
+
+def with_partners(lists: DataFrame, of: str, percent: int) -> DataFrame:
+    """The entries whose list has a set of a fitting size under another value of `of`. Of a list in the order of sizes, the
+    nearest such entry before or after decides; it stands where the run of equal values that holds the entry begins or ends."""
+    marks = []
+    for k, order in enumerate(((F.col("n"), F.col(of)), (F.col("n").desc(), F.col(of).desc()))):
+        w = Window.partitionBy("token").orderBy(*order)
+        lists = lists.withColumn(f"_b{k}", F.when(F.lag(of).over(w) != F.col(of), F.lag("n").over(w)))
+        lists = lists.withColumn(f"_m{k}", F.last(f"_b{k}", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        marks += [f"_b{k}", f"_m{k}"]
+    return lists.filter((100 * F.col("_m0") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("_m1"))).drop(*marks)
 
 
 def texts_of(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -228,25 +256,25 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFram
     docs = docs.select("doc_id", "text")
     raw = checkpointed(profiled(docs, width))
     profiles = raw.filter("block is null").select("doc_id", "key", "node", "n", "bits")
-    of = Window.partitionBy("token")
-    several = F.min("node").over(of) != F.max("node").over(of)
-    lists = index(docs, width, percent, sketch(raw)).withColumn("_s", several).filter("_s").drop("_s").distinct()
-    lists = checkpointed(lists.join(profiles.groupBy("node").agg(F.first("bits").alias("bits")), "node"))
+    maps = profiles.groupBy("node").agg(F.first("bits").alias("bits"))
+    entries = index(docs, width, percent, sketch(raw)).repartition("token").distinct()
+    lists = checkpointed(with_partners(entries, "node", percent))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = checkpointed(pairs)
+        pairs = checkpointed(pairs.select(F.greatest("node", "node_h").alias("u"), F.least("node", "node_h").alias("v")).distinct())
         nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
         return checkpointed(verified(pairs, checkpointed(texts_of(docs, profiles, nodes, width)), width, percent))
 
-    head = F.first(F.struct("node", "pos", "n", "bits")).over(of.orderBy("pos", "node"))
-    near = lists.withColumn("h", head).select("*", *(F.col(f"h.{c}").alias(f"{c}_h") for c in ("node", "pos", "n", "bits")))
-    links = linked(near.filter((F.col("node") != F.col("node_h")) & possible(percent)).select(F.greatest("node", "node_h").alias("u"), F.least("node", "node_h").alias("v")).distinct())
+    head = F.first(F.struct("node", "pos", "n")).over(Window.partitionBy("token").orderBy("pos", "node"))
+    near = lists.withColumn("h", head).select("node", "pos", "n", *(F.col(f"h.{c}").alias(f"{c}_h") for c in ("node", "pos", "n")))
+    near = near.filter((F.col("node") != F.col("node_h")) & fitting(percent)).select("node", "n", "node_h", "n_h").distinct()
+    near = near.join(maps, "node").join(maps.select(F.col("node").alias("node_h"), F.col("bits").alias("bits_h")), "node_h")
+    links = linked(near.filter(alike(percent)))
     roots = components(links)
     sides = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sides = checkpointed(sides.withColumn("_s", F.min("root").over(of) != F.max("root").over(of)).filter("_s").drop("_s"))
+    sides = checkpointed(with_partners(sides, "root", percent).join(maps, "node"))
     other = sides.select("token", *(F.col(c).alias(f"{c}_h") for c in ("node", "pos", "n", "bits", "root")))
-    across = sides.join(other, "token").filter((F.col("root") < F.col("root_h")) & possible(percent))
-    more = linked(across.select(F.greatest("node", "node_h").alias("u"), F.least("node", "node_h").alias("v")).distinct())
+    more = linked(sides.join(other, "token").filter((F.col("root") < F.col("root_h")) & fitting(percent) & alike(percent)))
     return profiles.drop("bits"), links.union(more)
 
 
