@@ -193,10 +193,23 @@ def with_partners(lists: DataFrame, of: str, percent: int) -> DataFrame:
 
 def texts_of(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """node, packed: one compressed text of each node asked for. A text is a third of its set's size, so it travels instead."""
-    asked = checkpointed(profiles.join(nodes, "node", "left_semi").groupBy("node").agg(F.max(F.struct("doc_id", "key")).alias("one")).select(F.col("one.doc_id").alias("_id"), F.col("one.key").alias("_key")))
+    asked = checkpointed(profiles.join(nodes, "node", "left_semi").groupBy("node").agg(F.max(F.struct("doc_id", "key")).alias("one")).select("node", F.col("one.doc_id").alias("_id"), F.col("one.key").alias("_key")))
     if asked.count() <= BROADCAST_ROWS:
         keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-        docs = keyed.join(F.broadcast(asked), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
+        found = keyed.join(F.broadcast(asked), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
+
+        def once():
+            pack, done = zstandard.ZstdCompressor().compress, set()
+
+            def each(ids, texts):
+                for i, t in zip(ids, texts):
+                    if i not in done:  # a row can stand in the table again; what other tasks repeat only repeats links
+                        done.add(i)
+                        yield i, pack(t.encode("utf-8", "surrogatepass"))
+
+            return each
+
+        return map_rows(found, ["node", "text"], "node binary, packed binary", once)
 
     def start():
         pack = zstandard.ZstdCompressor().compress
@@ -258,21 +271,21 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFram
     profiles = raw.filter("block is null").select("doc_id", "key", "node", "n", "bits")
     maps = profiles.groupBy("node").agg(F.first("bits").alias("bits"))
     entries = index(docs, width, percent, sketch(raw)).repartition("token").distinct()
-    lists = checkpointed(with_partners(entries, "node", percent))
+    head = F.first(F.struct("node", "pos", "n")).over(Window.partitionBy("token").orderBy("pos", "node"))
+    lists = checkpointed(with_partners(entries, "node", percent).withColumn("h", head))
 
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = checkpointed(pairs.select(F.greatest("node", "node_h").alias("u"), F.least("node", "node_h").alias("v")).distinct())
         nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
         return checkpointed(verified(pairs, checkpointed(texts_of(docs, profiles, nodes, width)), width, percent))
 
-    head = F.first(F.struct("node", "pos", "n")).over(Window.partitionBy("token").orderBy("pos", "node"))
-    near = lists.withColumn("h", head).select("node", "pos", "n", *(F.col(f"h.{c}").alias(f"{c}_h") for c in ("node", "pos", "n")))
+    near = lists.select("node", "pos", "n", *(F.col(f"h.{c}").alias(f"{c}_h") for c in ("node", "pos", "n")))
     near = near.filter((F.col("node") != F.col("node_h")) & fitting(percent)).select("node", "n", "node_h", "n_h").distinct()
     near = near.join(maps, "node").join(maps.select(F.col("node").alias("node_h"), F.col("bits").alias("bits_h")), "node_h")
     links = linked(near.filter(alike(percent)))
     roots = components(links)
-    sides = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sides = checkpointed(with_partners(sides, "root", percent).join(maps, "node"))
+    sides = lists.drop("h").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sides = checkpointed(with_partners(sides, "root", percent).join(maps, "node").select("token", "node", "pos", "n", "bits", "root"))
     other = sides.select("token", *(F.col(c).alias(f"{c}_h") for c in ("node", "pos", "n", "bits", "root")))
     more = linked(sides.join(other, "token").filter((F.col("root") < F.col("root_h")) & fitting(percent) & alike(percent)))
     return profiles.drop("bits"), links.union(more)
