@@ -45,6 +45,12 @@ def test_upscale_and_clip(spark):
         raster.crop(cells(spark, [[1]]), -1, 1, 0, 1)
 
 
+def test_clip_and_upscale_take_the_whole_raster(spark):
+    every = {(r.y, r.x) for r in QUERIES["raster_cells"](spark, SF).collect()}
+    assert {(r.y, r.x) for r in QUERIES["raster_clip_all"](spark, SF).collect()} == every
+    assert {(r.y // 2, r.x // 2) for r in QUERIES["raster_upscale_all"](spark, SF).collect()} == every and QUERIES["raster_upscale_all"](spark, SF).count() == 4 * len(every)
+
+
 def test_summary_and_histogram_as_numpy(spark):
     v = np.random.default_rng(1).normal(size=500)
     df = spark.createDataFrame([(float(x),) for x in v], "v double")

@@ -83,6 +83,14 @@ def raster_upscale(spark, sf_dir):
     return rounded(raster.upscale(raster.crop(cells(spark, sf_dir), 10, 40, 5, 50)))
 
 
+def raster_clip_all(spark, sf_dir):
+    return rounded(raster.clip(cells(spark, sf_dir)))
+
+
+def raster_upscale_all(spark, sf_dir):
+    return rounded(raster.upscale(cells(spark, sf_dir)))
+
+
 def raster_burn(spark, sf_dir):
     return rounded(raster.burn(cells(spark, sf_dir), border(spark, sf_dir)))
 
@@ -152,4 +160,4 @@ def catalog_tree(spark, sf_dir):
     return sources.listing(spark.createDataFrame([(k, *row) for k, row in enumerate(sources.tree(nested))], "ord int, depth int, name string, is_group boolean"))
 
 
-QUERIES = {f.__name__: f for f in (zonal_stats, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree)}
+QUERIES = {f.__name__: f for f in (zonal_stats, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree)}

@@ -46,6 +46,8 @@ round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50,
     "raster_crop": f"WITH {_CELLS} SELECT y, x, round(v, 6) AS v FROM cell WHERE y BETWEEN 0 AND 249 AND x BETWEEN 0 AND 254",
     "raster_clip": f"WITH {_CELLS}, {_WINDOW} SELECT y, x, round(least(greatest(v, 0), max(v) OVER ()), 6) AS v FROM win",
     "raster_upscale": f"WITH {_CELLS}, {_WINDOW} SELECT CAST(y * 2 + dy AS INT) AS y, CAST(x * 2 + dx AS INT) AS x, round(v, 6) AS v FROM win, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx)",
+    "raster_clip_all": f"WITH {_CELLS} SELECT y, x, round(least(greatest(v, 0), max(v) OVER ()), 6) AS v FROM cell",
+    "raster_upscale_all": f"WITH {_CELLS} SELECT CAST(y * 2 + dy AS INT) AS y, CAST(x * 2 + dx AS INT) AS x, round(v, 6) AS v FROM cell, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx)",
     "raster_burn": f"WITH {_CELLS}, {_BORDER}, mark AS (SELECT DISTINCT x, y FROM border) SELECT cell.y, cell.x, round(CASE WHEN mark.x IS NULL THEN v ELSE 2500 END, 6) AS v FROM cell LEFT JOIN mark USING (x, y)",
     "georef_parse": r"""WITH t AS (SELECT n_nationkey, 'GridName="g" UpperLeftPointMtrs=(-' || (100000000 + n_nationkey * 1000000) || '.5,' || (30000000 - n_nationkey) || ') LowerRightMtrs=(' || (n_nationkey * 250000) || ',-' || (n_nationkey * 125000) || '.25)' AS s FROM nation)
 SELECT n_nationkey, round(CAST(regexp_extract(s, 'UpperLeftPointMtrs=\(([-\d.]+),([-\d.]+)\)', 1) AS DOUBLE) / 1000000, 6) AS ul_x, round(CAST(regexp_extract(s, 'UpperLeftPointMtrs=\(([-\d.]+),([-\d.]+)\)', 2) AS DOUBLE) / 1000000, 6) AS ul_y,
