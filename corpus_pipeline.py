@@ -18,7 +18,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, width=5, percent=80)  # 4 words and 85 % are op10_jaccard_join's contract
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

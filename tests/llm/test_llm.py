@@ -249,3 +249,15 @@ def test_pipeline_stages(spark, tmp_path):
         n = docs.count()
     assert not pii.detect(docs).filter("size(filter(spans, s -> s.kind in ('email', 'card', 'phone', 'ip'))) > 0").count()
     assert corpus_pipeline.pack(spark, docs, SF).select("doc_id").distinct().count() == n
+
+
+def test_pipeline_drops_near_copies_of_80_percent(spark):
+    import corpus_pipeline
+
+    w = [f"w{k}" for k in range(100)]
+    texts = [w, w + [f"a{k}" for k in range(20)], w + [f"b{k}" for k in range(30)]]
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    like = [len(sets[0] & s) / len(sets[0] | s) for s in sets[1:]]
+    assert 0.80 <= like[0] < 0.85 and like[1] < 0.80
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()) == [0, 2]
