@@ -80,6 +80,13 @@ def test_pii_by_whole_patterns(spark, odd, none, small):
     assert any(k == "iban" for k, *_ in pii.spans("my iban GB82 WEST 1234 5698 7654 32 ok")) and pii.redact(odd).columns == odd.columns
 
 
+def test_iban_before_capital_letters():
+    plain, spaced = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    for text, want in ((f"{plain} The rest", [plain]), (f"{spaced} BIC DEUTDEFF", [spaced]), (f"AB12 {plain} {spaced} OK", [plain, spaced]), (f"{plain[:-1]}1 The rest", [])):
+        assert [text[a:b] for k, a, b, _ in pii.spans(text) if k == "iban"] == want, text
+    assert pii.redacted(f"to {plain} The rest") == "to [IBAN] The rest"
+
+
 def test_licences_by_brute_force(odd, none, small):
     scanner = licences.Scanner()
     for t in [*small.text, *(r[1] for r in ROWS), "gnu general public license general public mit license mit license", licences.NOTICES["mit"].replace("software", "code", 1)]:

@@ -27,6 +27,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Z0-9])")
+# Signs of a country's account number by the IBAN registry.
+LENGTH = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}.items() for c in cs.split()}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 NATIONAL = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])")
 START = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.4, "national": 0.3}
@@ -63,6 +68,19 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """A candidate can run into the words after it: its country's length is tried first, then every word end from the last."""
+    out, at = [], 0
+    while m := IBAN.search(text, at):
+        ends = [(k, m[0][: k - m.start()].replace(" ", "")) for k in range(m.end(), m.start(), -1) if k == m.end() or text[k] == " "]
+        ends.sort(key=lambda e: len(e[1]) != LENGTH.get(m[0][:2]))
+        end = next((k for k, s in ends if 15 <= len(s) <= 34 and mod97(s)), None)
+        if end is not None:
+            out.append((m.start(), end))
+        at = end or m.start() + 1
+    return out
+
+
 def digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -78,7 +96,7 @@ def found(text: str) -> dict[str, list[tuple[int, int]]]:
     out["card"] = [m.span() for m in CARD.finditer(text) if m.end() - m.start() >= 13 and 13 <= len(d := digits(m[0])) <= 19 and luhn(d)]
     if "+" in text:
         out["phone"] = [m.span() for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15]
-    out["iban"] = [m.span() for m in IBAN.finditer(text) if 15 <= len(s := m[0].replace(" ", "")) <= 34 and mod97(s)]
+    out["iban"] = ibans(text)
     out["ssn"] = [m.span() for m in SSN.finditer(text) if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000"]
     out["national"] = [m.span() for m in NATIONAL.finditer(text)]
     return out
