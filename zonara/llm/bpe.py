@@ -1,13 +1,19 @@
 """Byte-level BPE by backtracking, exact and in linear time.
 
 Bytes stand as Latin-1 characters in an Aho-Corasick automaton of the vocabulary,
-which gives the longest token at each place of a piece. The encoder takes longest
-tokens, falls back to their longest prefixes where two neighbours would have merged
-otherwise, and never tries a dead place twice. Whether two tokens may stand side by
-side is decided once for each pair, by the merges over the two, and remembered.
-
-Defined cases: a null text is an empty one (no ids); repeated rows give repeated
-results; a piece of any length takes memory in proportion to it.
+which gives the longest tokens of a piece from the left. If all neighbours may stand
+side by side, these are the answer. Otherwise the encoder falls back to their longest
+prefixes where two neighbours would have merged, and backtracks from a dead place, which
+it never tries twice. Whether two tokens may stand side by side is decided once for each
+pair, by the merges over the two, and remembered, as is the prefix that may.
+
+Under a pattern that never matches across the border before a space that follows
+something else (CUTTABLE), texts are cut at such spaces and the parts are remembered;
+under any other pattern a text is matched as a whole.
+
+Defined cases: a null text is an empty one (no ids); an empty table gives no rows; repeated
+rows give repeated results; a piece of any length takes memory in proportion to it; columns
+beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -15,12 +21,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from zonara.llm.common import cached_state, map_rows
+from zonara.llm.common import Memo, cached_state, map_rows
 
-CACHE, LONGEST_CACHED = 250_000, 64
+CACHE, PAIRS = 500_000, 400_000
+#: Patterns under which a match begins at every space that follows something else.
+CUTTABLE = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
 SAFE = re.compile(r"(?<=\S) ")
 
 
@@ -28,22 +37,8 @@ def ranks_of(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
 
 
-class Cache(dict):
-    """Two generations: when the young one is full, it becomes the old one."""
-
-    def __init__(self, make, size: int = CACHE):
-        self.make, self.size, self.old = make, size, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key, self)
-        if value is self:
-            value = self.make(key)
-        if len(key) <= LONGEST_CACHED:
-            if len(self) >= self.size:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+#: How many ids, the ids joined by commas, and the bytes that they decode to.
+Coded = tuple[int, bytes, bytes]
 
 
 class Bpe:
@@ -54,7 +49,11 @@ class Bpe:
         self.ranks, self.pieces = ranks, regex.compile(pattern).findall
         self.tokens = {i: b for b, i in ranks.items()}
         self.size = {i: len(b) for i, b in self.tokens.items()}
+        self.text = {i: str(i).encode() for i in self.tokens}
+        self.cuts = pattern in CUTTABLE
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, dict[int, int]] = {i: {} for i in self.tokens}
+        self.n_fits = 0
         self.left, self.right = {i: i for i in self.tokens}, {i: i for i in self.tokens}
         reached = [(b, i) for b, i in ranks.items() if self.reach(b) == i]
         self.longest = ahocorasick.Automaton()
@@ -63,9 +62,8 @@ class Bpe:
         self.longest.make_automaton()
         known = {b: i for b, i in reached}
         self.shorter = {i: next((known[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in known), -1) for b, i in reached}
-        self.of_piece = Cache(self.piece)
-        self.first = Cache(lambda part: self.chunk(part, part))
-        self.later = Cache(lambda part: self.chunk(" " + part, part))
+        self.of_piece = Memo(lambda pieces: [self.coded([p]) for p in pieces], CACHE)
+        self.of_part, self.bad = Memo(self.parts, CACHE), set()
 
     def reach(self, data: bytes) -> int:
         """The token that the merges by rank make of its bytes, or -1; keeps the two parts that the last merge joins."""
@@ -86,7 +84,7 @@ class Bpe:
         them, merge before that step."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             known = self.pairs[a, b] = self._beside(a, b)
         return known
@@ -108,47 +106,85 @@ class Bpe:
                         return True
         return False
 
+    def fitted(self, before: int, token: int) -> int:
+        """The longest prefix of `token` that is a token and may stand after `before`, or -1."""
+        known = token
+        while known >= 0 and not self.beside(before, known):
+            known = self.shorter[known]
+        if self.n_fits > PAIRS:
+            for own in self.fits.values():
+                own.clear()
+            self.n_fits = 0
+        self.fits[before][token] = known
+        self.n_fits += 1
+        return known
+
     def piece(self, piece: str) -> list[int]:
         data = piece.encode("utf-8", "surrogatepass")
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
-        n, text, longest = len(data), data.decode("latin-1"), self.longest.iter_long
-        out, at, alive = [], 0, None
-        token = next(longest(text, 0))[1]
-        size, shorter, pairs, beside = self.size, self.shorter, self.pairs, self.beside
+        n, text, size, shorter, fits = len(data), data.decode("latin-1"), self.size, self.shorter, self.fits
+        longest, at = {}, 0
+        for _, token in self.longest.iter_long(text):
+            longest[at] = token
+            at += size[token]
+        out, at, alive, token = [], 0, None, longest[0]
         while True:
-            end = at + size[token]
-            if (alive is None or alive[end]) and (not out or (pairs[p] if (p := (out[-1], token)) in pairs else beside(*p))):
-                out.append(token)
-                at = end
-                if at == n:
-                    return out
-                token = next(longest(text, at))[1]
-            elif (token := shorter[token]) < 0:
+            if out and token >= 0:
+                fit = fits[out[-1]].get(token)
+                token = self.fitted(out[-1], token) if fit is None else fit
+            if token < 0:  # nothing fits at this place
                 alive = alive or bytearray(b"\1") * (n + 1)
                 alive[at] = 0
                 token = out.pop()
                 at -= size[token]
-
-    def chunk(self, chunk: str, part: str):
-        """Count, ids and decoded bytes of a chunk; None if the space that follows it doesn't begin a chunk of its own."""
-        if not part or part[-1].isspace():
-            return None
-        return self.coded(chunk)
-
-    def coded(self, text: str):
-        ids = [i for p in self.pieces(text) for i in self.of_piece[p]]
-        return len(ids), ",".join(map(str, ids)).encode(), b"".join(map(self.tokens.__getitem__, ids))
-
-    def document(self, text: str) -> tuple[int, bytes, bytes]:
-        parts = text.split(" ")
-        first, later = self.first, self.later
-        coded = [first[parts[0]], *[later[p] for p in parts[1:]]]
-        if None in coded:  # runs of white space: cut only where a space follows something else
-            head, *rest = SAFE.split(text)
-            coded = [self.coded(head), *[self.coded(" " + p) for p in rest]]
-        coded = [c for c in coded if c[0]]
-        return sum(c[0] for c in coded), b",".join([c[1] for c in coded]), b"".join([c[2] for c in coded])
+                token = shorter[token]
+            elif alive and not alive[at + size[token]]:
+                token = shorter[token]
+            else:
+                out.append(token)
+                at += size[token]
+                if at == n:
+                    return out
+                if (token := longest.get(at)) is None:
+                    token = longest[at] = next(self.longest.iter_long(text, at))[1]
+
+    def coded(self, pieces: Iterable[str]) -> Coded:
+        ids = [i for p in pieces for i in self.piece(p)]
+        return len(ids), b",".join([self.text[i] for i in ids]), b"".join([self.tokens[i] for i in ids])
+
+    def parts(self, parts: list[str]) -> Iterable[Coded]:
+        """Of parts that stand after a space."""
+        self.of_piece.start()
+        number = self.of_piece.__getitem__
+        cut = [list(map(number, self.pieces(" " + p))) for p in parts]
+        made = self.of_piece.values()
+        for own in cut:
+            if len(own) == 1:
+                yield made[own[0]]
+            else:
+                sizes, ids, data = zip(*[made[k] for k in own])
+                yield sum(sizes), b",".join(ids), b"".join(data)
+
+    def documents(self, texts: list[str]) -> Iterable[Coded]:
+        if not self.cuts:
+            yield from (self.coded(self.pieces(t)) for t in texts)
+            return
+        self.of_part.start()
+        cut, number = [t.split(" ") for t in texts], self.of_part.__getitem__
+        at = [list(map(number, parts)) for parts in cut]
+        bad = {k for k, p in zip(range(len(self.of_part) - len(self.of_part.new), len(self.of_part)), self.of_part.new) if not p or p[-1].isspace()}
+        self.bad = bad | self.bad if len(self.of_part.new) < len(self.of_part) else bad
+        if self.bad:  # runs of white space: cut only where a space follows something else
+            for k, own in enumerate(at):
+                if not self.bad.isdisjoint(own):
+                    cut[k] = SAFE.split(texts[k])
+                    at[k] = list(map(number, cut[k]))
+        made = self.of_part.values().__getitem__
+        for parts, own in zip(cut, at):
+            first = self.coded(self.pieces(parts[0]))
+            sizes, ids, data = zip(first, *map(made, own[1:]))
+            yield sum(sizes), b",".join(ids if first[0] else ids[1:]), b"".join(data)
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -160,8 +196,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         bpe = cached_state(("bpe", ranks_path), lambda: Bpe(ranks_of(sent.value), pattern))
 
         def each(ids, texts):
-            for i, t in zip(ids, texts):
-                n, coded, decoded = bpe.document(t) if t else (0, b"", b"")
+            for i, (n, coded, decoded) in zip(ids, bpe.documents([t or "" for t in texts])):
                 yield i, n, hashlib.sha256(coded).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
         return each

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch: few, since one text can have many megabytes.
-BATCH_ROWS = 256
+#: What a task handles at once: few rows, since one text can have many megabytes.
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 _STATE: dict = {}
 
@@ -19,30 +23,87 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("doc_id", "text")))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session, whatever its texts' lengths."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of at most BATCH_ROWS rows and, but for single rows, BATCH_BYTES bytes."""
+    for batch in batches:
+        parts = [batch]
+        while parts:
+            part = parts.pop()
+            if (n := part.num_rows) > 1 and (n > BATCH_ROWS or part.nbytes > BATCH_BYTES):
+                parts += [part.slice(n // 2), part.slice(0, n // 2)]
+            elif n:
+                yield part
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in spark.checkpoint.dir; a folder of its own only where that setting is absent (tests, local mode)."""
+    """Cut the lineage in spark.checkpoint.dir. Only a local master gets a folder of its own if that setting is absent; elsewhere
+    executors could not share one, so it is an error."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="zonara-checkpoint-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="zonara-checkpoint-"))
     return df.checkpoint()
 
 
 def cached_state(key, build: Callable):
-    """What build() makes, once in each Python worker."""
+    """What build() makes, once in a Python worker; it stays until another key is asked for, so that one stage's caches don't
+    lie beside the next one's."""
     if key not in _STATE:
+        _STATE.clear()
         _STATE[key] = build()
     return _STATE[key]
 
 
+class Memo(dict):
+    """Numbers keys as they are looked up, and remembers what make(list of keys) gives for them: look up all keys of a batch,
+    then index the list that `values` returns. It is emptied between batches when it holds too many keys or signs."""
+
+    def __init__(self, make: Callable[[list], Iterable], size: int):
+        super().__init__()
+        self.make, self.size, self.new, self.made, self.held = make, size, [], [], 0
+
+    def __missing__(self, key) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+    def start(self) -> None:
+        """Before a batch; numbers given earlier are no longer valid."""
+        if len(self) > self.size or self.held > 64 * self.size:
+            self.clear(), self.made.clear()
+            self.held = 0
+
+    def values(self) -> list:
+        if self.new:
+            self.held += sum(map(len, self.new))
+            new, self.new = self.new, []
+            self.made.extend(self.make(new))
+        return self.made
+
+
+class Hashes:
+    """Word hashes, remembered by number. words: a text's words, as bytes."""
+
+    def __init__(self, words: Callable[[str | None], list[bytes]], size: int = 400_000):
+        self.words, self.memo, self.table = words, Memo(lambda new: map(xxhash.xxh3_64_intdigest, new), size), np.empty(0, np.uint64)
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the words of all texts in a row, and how many each text has."""
+        self.memo.start()
+        if not self.memo:
+            self.table = np.empty(0, np.uint64)
+        numbers = [list(map(self.memo.__getitem__, self.words(t))) for t in texts]
+        made, known = self.memo.values(), len(self.table)
+        if len(made) > known:
+            self.table = np.concatenate([self.table, np.array(made[known:], np.uint64)])
+        sizes = np.array([len(own) for own in numbers], np.int64)
+        return self.table[np.fromiter(chain.from_iterable(numbers), np.int64, int(sizes.sum()))], sizes
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, start: Callable[[], Callable[[list], Iterable[tuple]]]) -> DataFrame:
     """Run start() in each task; its result maps the column lists of an Arrow batch to output rows."""
-    small_batches(df.sparkSession)
     made = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -50,10 +111,14 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, start: Callable[[],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = start()
-        for batch in batches:
-            rows = list(each(*(column.to_pylist() for column in batch.columns)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), out.types)], schema=out)
+        gc.disable()  # rows make no cycles, and each collection would go through the caches
+        try:
+            for batch in slices(batches):
+                rows = list(each(*(column.to_pylist() for column in batch.columns)))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), out.types)], schema=out)
+        finally:
+            gc.enable()
 
     return df.select(*columns).mapInArrow(run, made)
 
