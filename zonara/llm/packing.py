@@ -1,15 +1,19 @@
 """Packing by non-negative least squares over the histogram of piece lengths.
 
 Each document is encoded once. Its full windows are pieces of WINDOW tokens; the
-rest is one shorter piece. The histogram of lengths (WINDOW bins at most) goes to
-the driver, which lists shallow combinations of lengths that fill a window exactly,
-solves for how often to use each, rounds down and tops up. Pieces get their ranks
-within a length in buckets, so that a length that a third of all pieces share is
-spread too. What is left is packed greedily end to end, cut at window borders.
+rest is one shorter piece, which keeps a checksum of each UNIT tokens, so that the
+checksums of its parts follow without its ids. The histogram of lengths (WINDOW bins
+at most) goes to the driver, which lists shallow combinations of lengths that fill a
+window exactly, solves for how often to use each, and rounds down and tops up. What is
+left of the histogram is packed greedily: the longest pieces that fit, and where none
+fits, a longer one cut at a multiple of UNIT. A piece's rank among those of its length
+is its place in its task's own count plus the counts of the tasks before, so a length
+that a third of all pieces share is spread too.
 
 Defined cases: a null text is an empty one and packs its end mark alone; documents
 repeated in full are packed as often as they stand there; an empty table packs
-nothing. A cut document is encoded a second time for the checksums of its parts.
+nothing; a text of any length becomes pieces of WINDOW tokens and a rest; columns
+beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -21,25 +25,32 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.bpe import LONGEST_CACHED, Cache
-from zonara.llm.common import cached_state, checkpointed, map_rows
+from zonara.llm.common import Memo, cached_state, checkpointed, map_rows
 
-WINDOW, END = 4096, 2
-COLUMNS, DEPTH, STEPS, SEED, BUCKET = 6000, 16, 400, 7, 20_000
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-PIECE = "doc_id long, text_key long, start long, length long, ids_crc32 long, doc_tokens long"
+WINDOW, END, UNIT = 4096, 2, 32
+COLUMNS, DEPTH, STEPS, SEED, CACHE = 6000, 16, 400, 7, 500_000
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, blocks binary, task int, place long"
+PLACE = "length long, lo long, hi long, part_start long, part_length long, sequence long, offset long, copies long, unit long"
+PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes. The tokenizer drops white space and never joins across it, so words are
-    encoded one by one and remembered; signs after plain letters are words of their own to it."""
+    """Ids as little-endian unsigned 32-bit bytes. The tokenizer drops white space and never joins across it, so parts between
+    white space are encoded apart and remembered; signs after plain letters are words of their own to it."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.words, self.chunks = Cache(self.plain, 400_000), Cache(self.chunk, 250_000)
+        #: for words in lower case, of plain letters or of signs only: what the tokenizer does first is done for them
+        self.merger = Tokenizer.from_str(tokenizer_json)
+        self.merger.encode_special_tokens = True
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.of_word, self.of_part = Memo(self.words, CACHE), Memo(self.parts, CACHE)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -47,36 +58,43 @@ class Encoder:
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def chunk(self, chunk: str) -> bytes:
-        if m := PLAIN.fullmatch(chunk):
-            letters, signs = m.groups()
-            return self.words[letters.lower()] + (self.words[signs] if signs else b"")
-        return self.plain(chunk)
-
-    def learn(self, texts: list[str | None]) -> None:
-        """Encode the words that are new in a batch of texts at once; each ends with a token that says so."""
-        chunks, words = self.chunks, self.words
-        new = {c for t in texts if t for c in t.split() if c not in chunks and c not in chunks.old and len(c) < LONGEST_CACHED}
-        parts = [m.groups() for m in map(PLAIN.fullmatch, new) if m]
-        todo = sorted(w for w in {a.lower() for a, _ in parts} | {b for _, b in parts if b} if w not in words and w not in words.old)
-        for k in range(0, len(todo), 1000):
-            own = todo[k : k + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(own):
-                continue  # they are encoded one by one when they are needed
-            for w, a, b in zip(own, np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist()):
-                words[w] = ids[a:b].tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            ids = b""
-        elif "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:  # white space to Python alone
-            ids = self.plain(text)
-        else:
-            chunks = self.chunks
-            ids = b"".join([chunks[c] for c in text.split()])
-        return ids + END.to_bytes(4, "little")
+    def words(self, words: list[str]) -> list[bytes]:
+        """Each word ends with a token that says so."""
+        out = []
+        for k in range(0, len(words), 1000):
+            own = words[k : k + 1000]
+            ids = np.array(self.merger.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) == len(own):
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            else:
+                out += map(self.plain, own)
+        return out
+
+    def parts(self, parts: list[str]) -> list[bytes]:
+        """Of parts between white space."""
+        self.of_word.start()
+        of_word, at = self.of_word, []
+        for p in parts:
+            w = p.rstrip(SIGNS)
+            if w.isalpha() and (w.isascii() or LATIN.fullmatch(w)):
+                at.append((of_word[w.lower()], of_word[p[len(w) :]] if len(w) < len(p) else -1))
+            else:
+                at.append(None)
+        made = of_word.values()
+        return [self.plain(p) if x is None else made[x[0]] if x[1] < 0 else made[x[0]] + made[x[1]] for p, x in zip(parts, at)]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.of_part.start()
+        number, end, at = self.of_part.__getitem__, END.to_bytes(4, "little"), []
+        for t in texts:
+            if t and ("\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t):  # white space to Python alone
+                at.append(None)
+            else:
+                at.append(list(map(number, (t or "").split())))
+        made = self.of_part.values().__getitem__
+        return [(self.plain(t) if own is None else b"".join(map(made, own))) + end for t, own in zip(texts, at)]
 
 
 def encoder(spark: SparkSession, tokenizer_path: str):
@@ -86,25 +104,42 @@ def encoder(spark: SparkSession, tokenizer_path: str):
     return lambda: cached_state(("packing", tokenizer_path), lambda: Encoder(sent.value))
 
 
+def block_sums(data: bytes) -> bytes:
+    """The checksums of each UNIT ids."""
+    return b"".join([zlib.crc32(data[k : k + 4 * UNIT]).to_bytes(4, "little") for k in range(0, len(data), 4 * UNIT)])
+
+
+def sum_of(blocks: bytes, start: int, length: int) -> int:
+    """The checksum of `length` ids from `start`, a multiple of UNIT, by those of its blocks: a checksum of two parts in a row is
+    that of the second, changed by the first as so many zeros would change it."""
+    total, at = 0, start // UNIT
+    for own in np.frombuffer(blocks, "<u4")[at : at - (-length // UNIT)].tolist():
+        zeros = bytes(4 * min(UNIT, length))
+        total = own ^ zlib.crc32(zeros, total) ^ zlib.crc32(zeros)
+        length -= UNIT
+    return total
+
+
 def pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     made = encoder(docs.sparkSession, tokenizer_path)
 
     def start():
-        own = made()
-        encode = own.encode
+        from pyspark import TaskContext
+
+        encode, task, places = made().encode, TaskContext.get().partitionId(), [0] * (WINDOW + 1)
 
-        def each(ids, keys, texts):
-            own.learn(texts)
-            for i, key, t in zip(ids, keys, texts):
-                b = encode(t)
+        def each(ids, texts):
+            for i, b in zip(ids, encode(texts)):
                 n = len(b) // 4
                 for s in range(0, n, WINDOW):
                     part = b[4 * s : 4 * (s + WINDOW)]
-                    yield i, key, s, len(part) // 4, zlib.crc32(part), n
+                    length = len(part) // 4
+                    yield i, s, length, zlib.crc32(part), n, block_sums(part) if length < WINDOW else None, task, places[length]
+                    places[length] += 1
 
         return each
 
-    return map_rows(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), ["doc_id", "text_key", "text"], PIECE, start)
+    return map_rows(docs, ["doc_id", "text"], PIECE, start)
 
 
 def combinations(counts: np.ndarray) -> list[tuple[int, ...]]:
@@ -162,74 +197,93 @@ def solve(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     return [(c, int(n)) for c, n in zip(combos, uses) if n]
 
 
-def slots(plan: list[tuple[tuple[int, ...], int]]) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """(length, first rank, rank after the last, first sequence, offset), and the number of sequences."""
-    taken, out, sequence = [0] * (WINDOW + 1), [], 0
-    for combo, n in plan:
+class Pool:
+    """Pieces that are not laid yet, by length: runs of ranks of pieces of an original length, from a start in them."""
+
+    def __init__(self, counts: np.ndarray):
+        self.left = counts.copy()
+        self.runs = {a: [(a, 0, 0, int(n))] for a, n in enumerate(counts.tolist()) if n}  # original length, start, ranks from, to
+        self.rows: list[tuple] = []
+        self.sequences = 0
+
+    def add(self, parts: list[tuple[int, int, int]], times: int) -> None:
+        """Lay `times` sequences of parts (length, copies, tokens taken of each, from its start)."""
         offset = 0
-        for a in combo:
-            out.append((a, taken[a], taken[a] + n, sequence, offset))
-            taken[a] += n
-            offset += a
-        sequence += n
-    return out, sequence
-
-
-def ranked(rows: DataFrame, keys: list[str], value, order: list[str], buckets: int, name: str) -> DataFrame:
-    """Adds the sum of `value` over the rows before, within each group of keys. Groups are dealt into buckets by a hash of
-    the row, so a hot group is no single task's; only one row for each bucket and group meets the others."""
-    dealt = rows.withColumns({"_b": F.pmod(F.xxhash64(*order), F.lit(buckets)), "_n": value})
-    own = Window.partitionBy(*keys, "_b").orderBy(*order)
-    dealt = dealt.withColumn("_s", F.sum("_n").over(own.rowsBetween(Window.unboundedPreceding, -1)))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = dealt.groupBy(*keys, "_b").agg(F.sum("_n").alias("_t")).withColumn("_f", F.sum("_t").over(before)).drop("_t")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return dealt.join(firsts, [*keys, "_b"]).withColumn(name, zero("_s") + zero("_f")).drop("_b", "_n", "_s", "_f")
+        for length, copies, taken in parts:
+            unit, runs, rest = 0, self.runs[length], []
+            while unit < times * copies:
+                a, s, lo, hi = runs.pop()
+                n = min(hi - lo, times * copies - unit)
+                if n < hi - lo:
+                    runs.append((a, s, lo + n, hi))
+                self.rows.append((a, lo, lo + n, s, taken, self.sequences, offset, copies, unit))
+                if taken < length:
+                    rest.append((a, s + taken, lo, lo + n))
+                unit += n
+            self.left[length] -= times * copies
+            if rest:
+                self.left[length - taken] += times * copies
+                self.runs.setdefault(length - taken, []).extend(rest)
+            offset += copies * taken
+        self.sequences += times
+
+    def fill(self) -> None:
+        """Lay what is left: the longest that fit, then a part of a longer one."""
+        while self.left.any():
+            room, parts, used = WINDOW, [], {}
+            while room:
+                fit = np.flatnonzero(self.left[: room + 1])
+                fit = fit[~np.isin(fit, list(used))]  # as many as fit of each length are taken at once
+                if not len(fit):
+                    break
+                length = int(fit[-1])
+                used[length] = min(room // length, int(self.left[length]))
+                parts.append((length, used[length], length))
+                room -= used[length] * length
+            times = min(int(self.left[length]) // n for length, n in used.items())
+            longer = np.flatnonzero(self.left > 0)
+            longer = [x for x in longer[longer > room].tolist() if x not in used or self.left[x] > used[x]]
+            if room >= UNIT and longer:
+                length, taken = longer[-1], room // UNIT * UNIT
+                if length in used:  # the part comes on top of whole ones of the same length
+                    times = min(times, int(self.left[length]) // (used[length] + 1))
+                else:
+                    times = min(times, int(self.left[length]))
+                parts.append((length, 1, taken))
+            self.add(parts, times)
+
+
+def placed(counts: np.ndarray) -> list[tuple]:
+    """Rows of PLACE: which ranks of which length go where."""
+    pool = Pool(counts)
+    for combo, times in solve(counts):
+        lengths, copies = np.unique(combo, return_counts=True)
+        pool.add([(a, n, a) for a, n in zip(lengths.tolist(), copies.tolist())], times)
+    pool.fill()
+    return pool.rows
 
 
 def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: a row for each piece."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    made = checkpointed(pieces(docs, tokenizer_path))
+    made = checkpointed(pieces(docs.select("doc_id", "text"), tokenizer_path))
+    own = checkpointed(made.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")))  # WINDOW rows a task at most
     counts = np.zeros(WINDOW + 1, np.int64)
-    for length, n in made.groupBy("length").count().collect():  # WINDOW rows at most
+    for length, n in own.groupBy("length").agg(F.sum("n")).collect():  # WINDOW rows at most
         counts[length] = n
-    total = int(counts.sum())
-    plan, n_sequences = slots(solve(counts))
-    place = spark.createDataFrame(plan, "length long, lo long, hi long, sequence long, offset long")  # COLUMNS x DEPTH rows at most
-    one = F.lit(1).cast("long")
-    ranks = checkpointed(ranked(made, ["length"], one, ["doc_id", "text_key", "start"], max(1, total // BUCKET), "rank"))
+    place = docs.sparkSession.createDataFrame(placed(counts), PLACE)  # bounded by COLUMNS x DEPTH and the lengths, not by the corpus
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = own.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    ranks = made.join(firsts, ["length", "task"]).withColumn("rank", F.col("first") + F.col("place"))
     fits = (ranks["length"] == place["length"]) & (ranks["rank"] >= place["lo"]) & (ranks["rank"] < place["hi"])
-    joined = ranks.join(F.broadcast(place), fits, "left").select(*(ranks[c] for c in ranks.columns), place["lo"], place["sequence"], place["offset"])
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    placed = joined.filter("lo is not null").select(*columns, (F.col("sequence") + F.col("rank") - F.col("lo")).alias("sequence_id"), F.col("offset").alias("offset"))
-
-    used = np.zeros(WINDOW + 1, np.int64)
-    for length, lo, hi, *_ in plan:
-        used[length] += hi - lo
-    n_left = int((counts - used).sum())
-    left = joined.filter("lo is null").drop("lo", "sequence", "offset", "rank")
-    left = checkpointed(ranked(left.withColumn("_all", F.lit(0)), ["_all"], F.col("length"), ["doc_id", "text_key", "start"], max(1, n_left // BUCKET), "at"))
-    room = F.lit(WINDOW) - F.col("at") % WINDOW
-    sequence = F.lit(n_sequences) + F.floor(F.col("at") / WINDOW).cast("long")
-    whole = left.filter(F.col("length") <= room).select(*columns, sequence.alias("sequence_id"), (F.col("at") % WINDOW).alias("offset"))
-    cut = left.filter(F.col("length") > room).select("doc_id", "text_key", "start", "length", room.alias("first"), sequence.alias("sequence"))
-    made_encoder = encoder(spark, tokenizer_path)
-
-    def begin():
-        encode = made_encoder().encode
-
-        def each(ids, texts, starts, lengths, firsts, sequences):
-            for i, t, s, n, first, sequence in zip(ids, texts, starts, lengths, firsts, sequences):
-                b = encode(t)
-                for a, z, seq, offset in ((s, s + first, sequence, WINDOW - first), (s + first, s + n, sequence + 1, 0)):
-                    yield i, a, z - a, zlib.crc32(b[4 * a : 4 * z]), len(b) // 4, seq, offset
+    laid = ranks.join(F.broadcast(place), fits).withColumn("at", F.col("unit") + F.col("rank") - F.col("lo"))
+
+    def start():
+        def each(ids, starts, lengths, sums, tokens, blocks, part_starts, part_lengths, sequences, offsets):
+            for i, s, n, crc, total, b, p, m, *where in zip(ids, starts, lengths, sums, tokens, blocks, part_starts, part_lengths, sequences, offsets):
+                yield i, s + p, m, crc if m == n else sum_of(b, p, m), total, *where
 
         return each
 
-    keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    again = keyed.join(cut, same, "left_semi").dropDuplicates(["_id", "_key"])
-    parts = map_rows(cut.join(again, same), ["doc_id", "text", "start", "length", "first", "sequence"], "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long", begin)
-    return placed.unionByName(whole).unionByName(parts)
+    columns = [*(ranks[c] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "blocks")), "part_start", "part_length"]
+    laid = laid.select(*columns, (F.col("sequence") + F.floor(F.col("at") / F.col("copies"))).alias("sequence_id"), (F.col("offset") + F.col("at") % F.col("copies") * F.col("part_length")).alias("offset"))
+    return map_rows(laid, laid.columns, PACKED, start)
