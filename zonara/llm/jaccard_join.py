@@ -16,7 +16,9 @@ pairs across components are, and none of those is left out.
 
 Defined cases: a text that is null or has no word has an empty set and links with
 nothing; rows repeated are equal sets; an id that is null takes part in links but never
-names a component (null if there is no other id).
+names a component (null if there is no other id); an empty table gives no rows; of equally
+rare shingles the smaller hash comes first; a text of any length is one set; columns beside
+doc_id and text are ignored by `clustered` and passed on by `keep_one`.
 """
 
 from __future__ import annotations
@@ -32,8 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.bpe import Cache
-from zonara.llm.common import cached_state, checkpointed, map_rows, small_batches
+from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, slices
 
 BUCKETS, BLOCKS, FAN_IN = 1 << 21, 64, 64
 WORDS = 16  # 64-bit words of a parity bitmap
@@ -54,19 +55,38 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """The sorted hashes of a text's distinct shingles; with fewer words the whole sequence is one."""
-    w = words(text)
-    if not w:
-        return np.empty(0, np.uint64)
-    known = cached_state("word hashes", lambda: Cache(xxhash.xxh3_64_intdigest, 300_000))
-    h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
-    take = min(width, len(h))
-    total = np.full(len(h) - take + 1, take, np.uint64)
+def combined(h: np.ndarray, take: int) -> np.ndarray:
+    """Hashes of all runs of `take` words."""
+    n = max(0, len(h) - take + 1)
     with np.errstate(over="ignore"):
+        total = np.full(n, take, np.uint64)
         for k in range(take):
-            total = mixed(total * MIX[4] + h[k : len(h) - take + 1 + k] * MIX[k % 4])
-    return np.unique(total)
+            total += h[k : k + n] * MIX[k % 4] + MIX[4] * np.uint64(k // 4)
+        return mixed(total)
+
+
+def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
+    """For each text the sorted hashes of its distinct shingles; with fewer words the whole sequence is one."""
+    h, sizes = cached_state("words of shingles", lambda: Hashes(words)).of(texts)
+    every, ends, out = combined(h, width), np.cumsum(sizes), []
+    starts = ends - sizes
+    for a, z in zip(starts.tolist(), ends.tolist()):
+        if z - a >= width:
+            every[a : z - width + 1].sort()
+    fresh = np.ones(len(every), bool)
+    np.not_equal(every[1:], every[:-1], out=fresh[1:])
+    for a, z in zip(starts.tolist(), ends.tolist()):
+        if z - a >= width:
+            keep = fresh[a : z - width + 1]
+            keep[0] = True
+            out.append(every[a : z - width + 1][keep])
+        else:
+            out.append(combined(h[a:z], z - a) if z > a else np.empty(0, np.uint64))
+    return out
+
+
+def shingles(text: str | None, width: int) -> np.ndarray:
+    return shingle_sets([text], width)[0]
 
 
 def node(s: np.ndarray) -> bytes:
@@ -86,7 +106,6 @@ def need(a, b, percent: int):
 
 def profiled(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, key (of its text), node, n, bits for each document; and, where block is not null, a task's shingle counts by block."""
-    small_batches(docs.sparkSession)
     schema = "doc_id long, key long, node binary, n long, bits array<long>, block int, task int, counts binary"
     types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary()]
     names = [c.split()[0] for c in schema.split(", ")]
@@ -95,11 +114,11 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
         from pyspark import TaskContext
 
         task, counts, any_row = TaskContext.get().partitionId(), np.zeros(BUCKETS, np.uint32), False
-        for batch in batches:
+        for batch in slices(batches):
             nodes, sizes, bits = [], [], []
-            for t in batch.column(2).to_pylist():
-                s = shingles(t, width)
-                np.add.at(counts, (s >> np.uint64(43)).astype(np.int64), 1)
+            sets = shingle_sets(batch.column(2).to_pylist(), width)
+            np.add.at(counts, (np.concatenate(sets) >> np.uint64(43)).astype(np.int64), 1)
+            for s in sets:
                 nodes.append(node(s)), sizes.append(len(s)), bits.append(bitmap(s))
             none = pa.nulls(len(nodes))
             any_row = any_row or bool(nodes)
@@ -133,20 +152,20 @@ def sketch(profiles: DataFrame) -> np.ndarray:
 
 def index(docs: DataFrame, width: int, percent: int, rank: np.ndarray) -> DataFrame:
     """token, node, pos, n: each set under its rarest shingles, of which linked sets share one."""
-    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(rank)
 
     def run(batches):
         seen = set()
-        for batch in batches:
-            parts, nodes = [[], [], []], []
+        for batch in slices(batches):
+            parts, nodes, fresh = [[], [], []], [], []
             for t in batch.column(0).to_pylist():
                 if (key := xxhash.xxh3_128_digest((t or "").encode("utf-8", "surrogatepass"))) in seen:
                     continue  # a copy's entries would be the same; later steps remove those of other tasks
                 if len(seen) == SEEN:
                     seen.clear()
                 seen.add(key)
-                s = shingles(t, width)
+                fresh.append(t)
+            for s in shingle_sets(fresh, width) if fresh else ():
                 if not (n := len(s)):
                     continue
                 order = np.argsort(sent.value[(s >> np.uint64(43)).astype(np.int64)], kind="stable")[: n - -(-percent * n // 100) + 1]
@@ -215,8 +234,8 @@ def texts_of(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, width: int)
         pack = zstandard.ZstdCompressor().compress
 
         def each(texts):
-            for t in texts:
-                if len(s := shingles(t, width)):
+            for t, s in zip(texts, shingle_sets(texts, width)):
+                if len(s):
                     yield node(s), pack(t.encode("utf-8", "surrogatepass"))
 
         return each
@@ -301,15 +320,15 @@ def clustered(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """One document of each component, with all its columns: the first by doc_id, then by its text's hash."""
+    """One document of each component, with all its columns: the first by doc_id, then by its text's hash. In components without
+    any id each text stays once; texts without words all stay."""
     found = clustered(docs, width, percent)
     first = found.filter("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("f")).select("f.doc_id", "f.key")
-    # components without any id: each text once; texts without words: all stay
     none = found.filter("n_shingles > 0 and component_id is null").select("doc_id", "key").distinct()
     empty = found.filter("n_shingles = 0").select("doc_id", "key").distinct()
-    one = first.union(none).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.lit(True).alias("_one"))
-    all_ = empty.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.lit(False).alias("_one"))
-    marked = docs.withColumn("_zj", F.xxhash64("text"))
-    got = marked.join(one.union(all_), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_zj") == F.col("_key")))
-    single = got.filter("_one").dropDuplicates(["_id", "_key"])
-    return single.union(got.filter("not _one")).select(*docs.columns)
+    kept = first.union(none).withColumn("one", F.lit(True)).union(empty.withColumn("one", F.lit(False)))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("key"), F.struct(*docs.columns).alias("row")).alias("d")
+    kept = kept.withColumnsRenamed({"doc_id": "k_id", "key": "k_key"})
+    got = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("key") == F.col("k_key")))
+    single = got.filter("one").dropDuplicates(["doc_id", "key"])
+    return single.union(got.filter("not one")).select("row.*")
