@@ -1,18 +1,21 @@
 """Toxicity by a classifier chain: linear models in a row, each fed with the probabilities of those before it.
 
-The table labels documents as toxic or not. The finer categories come from it: a toxic
-document is `abusive` if it holds a term that marks toxic documents, and `severe` if it
-holds SEVERE of them or more. The chain goes abusive, severe, toxic. While training, a
-later model sees earlier probabilities made out of fold, so that it learns how far to
-trust them. Terms are whole words and the first STEM letters of words, kept if they are
-significantly more frequent in toxic documents of the sample.
-
-The sample is bounded: PER_CLASS labelled documents of each class at most, the first by a
-hash of their id. Their terms are counted by Spark; the driver gets the TERMS terms and,
-for each document of the sample, which of them it holds. Predictions read whole texts.
+The table labels documents for two categories: `poor` (quality is 0) and `toxic`. The
+chain predicts poor, then toxic from the same features and the probability of poor.
+While training, a later model sees earlier probabilities made out of fold, so that it
+learns how far to trust them. Features are terms: whole words and the first STEM letters
+of words, if significantly more frequent in a category's documents; those for an
+out-of-fold model are chosen without the fold.
+
+The sample is bounded: about PER_CLASS labelled documents of each class of `toxic`, those
+whose hash is below a threshold set by the class's size. Their terms are counted by Spark;
+the driver gets at most TERMS terms for each category and fold and, for each document of
+the sample, which of them it holds. Predictions read whole texts.
 Defined cases: a null text is an empty one; with no label of either class nothing is
-toxic; labels that are null or contradict each other for an id are left out; repeated
-rows are judged alike.
+toxic; labels that are null or contradict each other for an id are left out (a null
+quality only for `poor`); repeated rows are judged alike; equal z-scores rank by term; an
+empty table gives no rows; a text of any length is one set of terms; columns beside doc_id
+and text are ignored by `detect` and passed on by `keep`.
 """
 
 from __future__ import annotations
@@ -20,16 +23,17 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonara.llm.common import checkpointed, map_rows
 
-PER_CLASS, TERMS, STEM, SEVERE, FOLDS = 2000, 200, 5, 3, 5
-LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-5, 300
+PER_CLASS, TERMS, STEM, FOLDS = 4000, 400, 5, 5
+LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-5, 400
 WORD = re.compile(r"[^\W\d_]+")
-CATEGORIES = ("abusive", "severe", "toxic")
+CATEGORIES = ("poor", "toxic")
+ALL = -1  # the fold that is left out when none is
 
 
 def terms_of(text: str | None) -> set[str]:
@@ -37,18 +41,32 @@ def terms_of(text: str | None) -> set[str]:
     return found | {"^" + w[:STEM] for w in found if len(w) > STEM}
 
 
-def chosen(sample: DataFrame) -> list[str]:
-    """Of a sample (toxic, terms), the terms with a large z-score of the difference of their document shares, the largest first."""
-    size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    n1, n0 = size.get(1, 0), size.get(0, 0)
-    if not n1 or not n0:
-        return []
-    counts = sample.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a1"), F.sum(1 - F.col("toxic")).alias("a0"))
-    share = (F.col("a0") + F.col("a1")) / (n0 + n1)
-    apart = F.col("a1") / n1 - F.col("a0") / n0
-    z = apart / F.sqrt(F.greatest(share * (1 - share) * (1 / n0 + 1 / n1), F.lit(1e-18)))
-    clear = counts.filter((F.col("a1") >= LEAST_DOCS) & (F.col("a1") / n1 >= 4 * F.col("a0") / n0)).withColumn("z", F.round(z, 9)).filter(F.col("z") >= LEAST_Z)
-    return [r["term"] for r in clear.orderBy(F.col("z").desc(), "term").limit(TERMS).collect()]
+def chosen(sample: DataFrame) -> dict[tuple[int, str], list[str]]:
+    """Of a sample (fold, poor, toxic, terms), for each fold left out and each category: the terms with a large z-score of the
+    difference of their document shares, the largest first."""
+    kinds = [(f, c, y) for f in range(FOLDS) for c in CATEGORIES for y in (0, 1)]
+    counted = [F.count(F.when((F.col("fold") == f) & (F.col(c) == y), 1)).alias(f"{c}{y}_{f}") for f, c, y in kinds]
+    size = sample.agg(*counted).head().asDict()
+    counts = sample.select("fold", *CATEGORIES, F.explode("terms").alias("term")).groupBy("term").agg(*counted)
+    found = []
+    for left_out in (ALL, *range(FOLDS)):
+        folds = [f for f in range(FOLDS) if f != left_out]
+        for c in CATEGORIES:
+            n0, n1 = (sum(size[f"{c}{y}_{f}"] for f in folds) for y in (0, 1))
+            if n0 and n1:
+                a0, a1 = (sum((F.col(f"{c}{y}_{f}") for f in folds[1:]), F.col(f"{c}{y}_{folds[0]}")) for y in (0, 1))
+                share = (a0 + a1) / (n0 + n1)
+                z = F.round((a1 / n1 - a0 / n0) / F.sqrt(F.greatest(share * (1 - share) * (1 / n0 + 1 / n1), F.lit(1e-18))), 9)
+                clear = (a1 >= LEAST_DOCS) & (a1 / n1 >= 4 * a0 / n0) & (z >= LEAST_Z)
+                found.append(F.when(clear, F.struct(F.lit(left_out).alias("left_out"), F.lit(c).alias("category"), z.alias("z"))))
+    if not found:
+        return {}
+    each = counts.select("term", F.explode(F.array_compact(F.array(*found))).alias("f")).select("term", "f.*")
+    best = Window.partitionBy("left_out", "category").orderBy(F.col("z").desc(), "term")
+    out: dict[tuple[int, str], list[str]] = {}
+    for r in sorted(each.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= TERMS).collect(), key=lambda r: r["k"]):
+        out.setdefault((r["left_out"], r["category"]), []).append(r["term"])
+    return out
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = STEPS) -> np.ndarray:
@@ -68,82 +86,89 @@ def apply(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
+def features(sets: list[set[str]], at: dict[str, int]) -> np.ndarray:
+    x = np.zeros((len(sets), len(at)), np.float32)
+    for k, s in enumerate(sets):
+        x[k, [at[w] for w in s & at.keys()]] = 1
+    return x
+
+
 class Chain:
-    def __init__(self, terms: list[str], sets: list[set[str]], toxic: np.ndarray, folds: np.ndarray):
-        self.terms = terms
-        self.at = {w: k for k, w in enumerate(self.terms)}
-        self.models: list[np.ndarray] = []
-        if not self.terms:
+    def __init__(self, terms: dict[tuple[int, str], list[str]], sets: list[set[str]], targets: dict[str, np.ndarray], folds: np.ndarray):
+        """targets: for each category 1, 0, or NaN where it is not known."""
+        at = {f: {w: k for k, w in enumerate(sorted({w for c in CATEGORIES for w in terms.get((f, c), [])}))} for f in (ALL, *range(FOLDS))}
+        self.at, self.models = at[ALL], []
+        if not terms.get((ALL, "toxic")):
             return
-        x = self.features(sets)
-        hits = x.sum(1)
-        targets = {"abusive": toxic & (hits >= 1), "severe": toxic & (hits >= SEVERE), "toxic": toxic}
+        x = {f: features(sets, own) for f, own in at.items()}
+        earlier = np.zeros((len(sets), 0), np.float32)
         for name in CATEGORIES:
-            y, out_of_fold = targets[name].astype(np.float32), np.zeros(len(x), np.float32)
+            known, y = ~np.isnan(targets[name]), np.nan_to_num(targets[name]).astype(np.float32)
+            out_of_fold = np.zeros((len(sets), 1), np.float32)
             for f in range(FOLDS):
-                held = folds == f
-                if held.any() and (~held).any():
-                    out_of_fold[held] = apply(logistic(x[~held], y[~held]), x[held])
-            self.models.append(logistic(x, y))
-            x = np.hstack([x, out_of_fold[:, None]])
-
-    def features(self, sets: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(sets), len(self.terms)), np.float32)
-        for k, s in enumerate(sets):
-            x[k, [self.at[w] for w in s & self.at.keys()]] = 1
-        return x
+                held, own = folds == f, np.hstack([x[f], earlier])
+                if held.any() and (known & ~held).any():
+                    out_of_fold[held, 0] = apply(logistic(own[known & ~held], y[known & ~held]), own[held])
+            own = np.hstack([x[ALL], earlier])
+            self.models.append(logistic(own[known], y[known]) if known.any() else np.zeros(own.shape[1] + 1, np.float32))
+            earlier = np.hstack([earlier, out_of_fold])
 
     def predict(self, sets: list[set[str]]) -> np.ndarray:
         """Probabilities of CATEGORIES."""
         if not self.models:
             return np.zeros((len(sets), len(CATEGORIES)))
-        x = self.features(sets)
+        x = features(sets, self.at)
         for w in self.models:
             x = np.hstack([x, apply(w, x)[:, None]])
         return x[:, -len(CATEGORIES) :]
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Chain:
-    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_t")).filter("toxic = _t").select("doc_id", "toxic")
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= PER_CLASS).select("doc_id", "toxic")
+    agreed = lambda c: F.when(F.min(c) == F.max(c), F.min(c))
+    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(agreed("toxic").alias("toxic"), agreed("quality").alias("quality")).filter("toxic is not null")
+    size = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / float(1 << 31)
+    share = F.when(F.col("toxic") == 1, PER_CLASS / max(1, size.get(1, 0))).otherwise(PER_CLASS / max(1, size.get(0, 0)))
+    poor = F.when(F.col("quality").isNotNull(), (F.col("quality") == 0).cast("int"))
+    ids = known.filter(drawn < share).select("doc_id", F.col("toxic").cast("int").alias("toxic"), poor.alias("poor"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"))
 
     def start():
-        return lambda ids, toxic, texts: ((i, y, sorted(terms_of(t))) for i, y, t in zip(ids, toxic, texts) if t)
+        return lambda ids, folds, poor, toxic, texts: ((i, f, q, y, sorted(terms_of(t))) for i, f, q, y, t in zip(ids, folds, poor, toxic, texts) if t)
 
-    sample = checkpointed(map_rows(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), ["doc_id", "toxic", "text"], "doc_id long, toxic long, terms array<string>", start))
+    # about 2 x PER_CLASS ids are broadcast
+    sample = checkpointed(map_rows(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), ["doc_id", "fold", "poor", "toxic", "text"], "doc_id long, fold int, poor int, toxic int, terms array<string>", start))
     terms = chosen(sample)
-    held = F.array_intersect("terms", F.lit(terms)) if terms else F.array().cast("array<string>")
-    got = sorted(sample.select("doc_id", "toxic", held.alias("terms")).collect())
-    return Chain(terms, [set(r[2]) for r in got], np.array([r[1] == 1 for r in got], bool), np.array([r[0] % FOLDS for r in got], np.int64))
+    every = sorted({w for own in terms.values() for w in own})
+    held = F.array_intersect("terms", F.lit(every)) if every else F.array().cast("array<string>")
+    got = sorted(sample.select("doc_id", "fold", "poor", "toxic", held.alias("terms")).collect(), key=lambda r: (r["doc_id"], r["terms"]))
+    return Chain(terms, [set(r["terms"]) for r in got], {c: np.array([np.nan if r[c] is None else r[c] for r in got], float) for c in CATEGORIES}, np.array([r["fold"] for r in got], np.int64))
 
 
-def scored(docs: DataFrame, chain: Chain, columns: list[str]) -> DataFrame:
-    """`columns`, a probability for each category, and toxic."""
+def scored(docs: DataFrame, chain: Chain) -> DataFrame:
+    """doc_id, a probability for each category, and toxic."""
 
     def start():
-        def each(*lists):
-            p = chain.predict([terms_of(t) for t in lists[-1]])
-            for k, row in enumerate(zip(*lists[:-1])):
-                yield (*row, *p[k].tolist(), bool(p[k, -1] >= 0.5))
+        def each(ids, texts):
+            for i, p in zip(ids, chain.predict([terms_of(t) for t in texts]).tolist()):
+                yield i, *p, p[-1] >= 0.5
 
         return each
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([f"{c} {kinds[c]}" for c in columns] + [f"p_{c} double" for c in CATEGORIES] + ["is_toxic boolean"])
-    return map_rows(docs, [*columns, "text"], schema, start)
+    return map_rows(docs, ["doc_id", "text"], ", ".join(["doc_id long", *(f"p_{c} double" for c in CATEGORIES), "toxic boolean"]), start)
 
 
 def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, p_abusive, p_severe, p_toxic, toxic for every document."""
-    return scored(docs, fitted(docs, labels), ["doc_id"]).withColumnRenamed("is_toxic", "toxic")
+    """doc_id, p_poor, p_toxic, toxic for every document."""
+    return scored(docs, fitted(docs, labels))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not toxic, with all their columns."""
     chain = fitted(docs, labels)
-    @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series(chain.predict([terms_of(t) for t in texts])[:, -1] < 0.5, dtype=bool)
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        parts = [texts.slice(k, 256).to_pylist() for k in range(0, len(texts), 256)]
+        return pa.array([bool(p < 0.5) for part in parts for p in chain.predict([terms_of(t) for t in part])[:, -1]], pa.bool_())
 
     return docs.filter(clean("text"))
