@@ -1,13 +1,15 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network is trained in numpy by backpropagation through time on a bounded sample of
-labelled rows: PER_LANG documents of each language at most, the first by a hash of their
-id, each with WINDOWS windows of SPAN bytes. It labels every byte; a document's language
-is the largest mean of the labels' probabilities over all its bytes.
+The network is trained in numpy by backpropagation through time on a bounded sample: the
+whole texts of all labelled rows fall into windows of SPAN characters, and a hash draws
+about PER_LANG of each language's windows, wherever they lie. It labels every byte; a
+document's language is the largest mean of the labels' probabilities over all its bytes.
 
 Texts are cut into rows of ROW bytes, so a text of any length takes a bounded batch at a
-time. Defined cases: `und` with score 0 if the text is null or has no letter, or if no
-row is labelled; ties go to the language that comes first; repeated rows are judged alike.
+time; each row is read with CONTEXT bytes of the text on both sides, which count for the
+states of the network and not for the mean. Defined cases: `und` with score 0 if the text is
+null or has no letter, or if no row is labelled; ties go to the language that comes first;
+repeated rows are judged alike; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,14 +17,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonara.llm.common import crc32_of_id, small_batches
+from zonara.llm.common import crc32_of_id, slices
 
-PER_LANG, WINDOWS, SPAN = 400, 3, 48
-HIDDEN, EPOCHS, BATCH, RATE, SEED = 8, 14, 128, 0.02, 11
-ROW, AT_ONCE = 96, 2048
+PER_LANG, SPAN = 4000, 48
+HIDDEN, EPOCHS, BATCH, RATE, SEED = 8, 3, 128, 0.02, 11
+ROW, CONTEXT, AT_ONCE = 224, 32, 1024
 LETTER = regex.compile(r"\p{L}")
 HELD_OUT = 5
 
@@ -140,15 +142,18 @@ def rows_of(data: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[bytes, str]]:
-    """Windows of the sample: bounded by languages x per_lang x WINDOWS x SPAN bytes. Ids are ranked before texts are read."""
+    """(window, language) of the sample: about per_lang windows of SPAN characters for each language."""
     learn = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc32_of_id() % HELD_OUT != 0))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = learn.select("doc_id", "lang").withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_lang).select("doc_id", "lang").distinct()
-    sample = learn.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
-    n = F.length("text")
-    at = [F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(n - SPAN, F.lit(0)) + 1) + 1).cast("int"), F.lit(SPAN)) for k in range(WINDOWS)]
-    got = sample.select("doc_id", "lang", F.array_distinct(F.array(*at)).alias("w")).collect()
-    return [(w.encode("utf-8")[:SPAN], lang) for _, lang, windows in sorted(got, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2])) for w in windows if LETTER.search(w)]
+    n = F.ceil(F.length("text") / SPAN)
+    size = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.sum(n).alias("n")).collect() if r["n"]}
+    if not size:
+        return []
+    least = F.create_map(*(F.lit(x) for lang, own in sorted(size.items()) for x in (lang, int((1 << 31) * min(1.0, per_lang / own)))))
+    drawn = F.filter(F.sequence(F.lit(0), n.cast("int") - 1), lambda k: F.pmod(F.xxhash64("doc_id", k), F.lit(1 << 31)) < least[F.col("lang")])
+    picked = learn.filter("length(text) > 0").select("doc_id", "lang", "text", drawn.alias("k")).filter("size(k) > 0")
+    got = picked.select("doc_id", "lang", F.transform("k", lambda k: F.substring("text", k * SPAN + 1, F.lit(SPAN))).alias("w")).collect()
+    rows = sorted(got, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["lang"], r["w"]))
+    return [(w.encode("utf-8", "surrogatepass"), r["lang"]) for r in rows for w in r["w"] if LETTER.search(w)]
 
 
 def fitted(docs: DataFrame) -> tuple[list[str], Network | None]:
@@ -156,34 +161,49 @@ def fitted(docs: DataFrame) -> tuple[list[str], Network | None]:
     names = sorted({lang for _, lang in rows})
     if not names:
         return [], None
-    x, sizes, _ = rows_of([w for w, _ in rows], SPAN)
+    x, sizes, own = rows_of([w for w, _ in rows], SPAN)
     mask = (np.arange(SPAN)[:, None] < sizes).astype(np.float32)[:, :, None]
     network = Network(len(names))
-    network.train(np.ascontiguousarray(x.T), mask, np.array([names.index(lang) for _, lang in rows]))
+    network.train(np.ascontiguousarray(x.T), mask, np.array([names.index(lang) for _, lang in rows])[own])
     return names, network
 
 
+def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of CONTEXT + ROW + CONTEXT bytes with the text around them; for each row where its text begins and ends in it, and the
+    text that it is from."""
+    first, own = [], []
+    for k, t in enumerate(texts):
+        starts = range(0, len(t), ROW)
+        first += starts
+        own += [k] * len(starts)
+    width = ROW + 2 * CONTEXT
+    padded = [bytes(CONTEXT) + t + bytes(width) for t in texts]
+    x = np.frombuffer(b"".join([padded[k][s : s + width] for k, s in zip(own, first)]), np.uint8).reshape(-1, width)
+    first, own = np.array(first, np.int64), np.array(own, np.int64)
+    left = np.array([len(t) for t in texts], np.int64)[own] - first
+    return x, np.where(first == 0, CONTEXT, 0), np.minimum(width, left + CONTEXT), own
+
+
 def pooled(network: Network, texts: list[bytes], n_labels: int) -> np.ndarray:
     """The mean probability of each label over each text's bytes; texts are not empty."""
-    x, sizes, own = rows_of(texts, ROW)
+    x, begin, end, own = windows_of(texts)
     total = np.zeros((len(texts), n_labels))
     for k in range(0, len(x), AT_ONCE):
-        part, n = np.ascontiguousarray(x[k : k + AT_ONCE].T), sizes[k : k + AT_ONCE]
-        mask = None if n.min() == ROW else (np.arange(ROW)[:, None] < n).astype(np.float32)[:, :, None]
-        y = network.labels(part, mask)
-        if mask is not None:
-            y *= mask
-        np.add.at(total, own[k : k + AT_ONCE], y.sum(axis=0))
+        a, z = begin[k : k + AT_ONCE], end[k : k + AT_ONCE]
+        at = np.arange(x.shape[1])[:, None]
+        mask = ((at >= a) & (at < z)).astype(np.float32)[:, :, None]
+        y = network.labels(np.ascontiguousarray(x[k : k + AT_ONCE].T), mask)
+        y *= mask
+        np.add.at(total, own[k : k + AT_ONCE], y[CONTEXT : CONTEXT + ROW].sum(axis=0))
     return total / np.array([len(t) for t in texts])[:, None]
 
 
 def identify(docs: DataFrame, trained_on: DataFrame | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score. Learns from trained_on (docs itself if it is None): doc_id, text, lang."""
     names, network = fitted(docs if trained_on is None else trained_on)
-    small_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(2).to_pylist()
             lettered = [k for k, t in enumerate(texts) if t and LETTER.search(t)] if network else []
             lang, score = ["und"] * len(texts), [0.0] * len(texts)
