@@ -6,7 +6,9 @@ suffix that is part of some template (its matching statistic). Occurrences of a
 whole phrase and the maximal matches of the notices are read off that stream; the
 matches are then chained, in order in both, into covered template spans.
 
-Defined cases: a null text is an empty one; repeated rows give repeated results.
+Defined cases: a null text is an empty one; an empty table gives no rows; repeated rows give repeated
+results; a text of any length is read once, and what is kept of it grows with its matches; of equal
+chains the one that starts first counts; columns beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -156,7 +158,13 @@ class Scanner:
                     if b - a > over:
                         open_.append((c[0], b, t + b - a, c[3] + b - a - over))
                 open_.append((a, b, t + b - a, b - a))
-                open_ = sorted(set(open_), key=lambda c: -c[3])[:64]  # of chains that end within GAP words, the longest
+                # chains that end at the same places go on alike: the one with the most words stands for them
+                alike: dict[tuple[int, int], tuple] = {}
+                for c in open_:
+                    if (c[3], -c[0]) > (alike[c[1:3]][3], -alike[c[1:3]][0]) if c[1:3] in alike else True:
+                        alike[c[1:3]] = c
+                out += [(k, c[0], c[1], c[3] / size) for c in set(open_) - set(alike.values())]
+                open_ = list(alike.values())
             out += [(k, c[0], c[1], c[3] / size) for c in open_]
         best: dict[tuple, tuple] = {}
         for c in out:
