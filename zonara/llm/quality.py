@@ -5,8 +5,8 @@ the counts of vote patterns (3 ** rules at most, whatever the corpus) estimates
 often each rule is right in either class; the posterior replaces "all must pass".
 
 Defined cases: a null text has no words and fails the base rule; an empty table
-gives an empty result; repeated rows are judged alike; other columns are ignored
-by `verdicts` and passed on by `keep`. Windows are compared by 64-bit hashes.
+gives an empty result; repeated rows are judged alike; a text of any length is measured
+whole, within its row; other columns are ignored by `verdicts` and passed on by `keep`. Windows are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -93,9 +93,9 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> Model:
     for _ in range(STEPS):
         up = [[STRENGTH * x for x in own] for own in rates]
         down = [[STRENGTH * (1 - x) for x in own] for own in rates]
-        mass = [STRENGTH * x for x in start]
+        mass, weights = [STRENGTH * x for x in start], log_weights(model)
         for votes, n in patterns:
-            for c, p in enumerate(shares(votes, model)):
+            for c, p in enumerate(shares(votes, weights)):
                 mass[c] += p * n
                 for r, v in enumerate(votes):
                     if v > 0:
@@ -115,9 +115,9 @@ def log_weights(model: Model) -> list[tuple[float, list[tuple[float, float]]]]:
     return [(math.log(share), [(math.log(x), math.log(1 - x)) for x in own]) for share, own in model]
 
 
-def shares(votes, model: Model) -> list[float]:
-    """The posterior of each class."""
-    logs = [s + sum(w[0 if v > 0 else 1] for v, w in zip(votes, each) if v) for s, each in log_weights(model)]
+def shares(votes, weights: list[tuple[float, list[tuple[float, float]]]]) -> list[float]:
+    """The posterior of each class, by the model's log_weights."""
+    logs = [s + sum(w[0 if v > 0 else 1] for v, w in zip(votes, each) if v) for s, each in weights]
     top = max(logs)
     odds = [math.exp(x - top) for x in logs]
     return [x / sum(odds) for x in odds]
@@ -150,7 +150,6 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with all their columns; the verdicts meet them again by id and text's hash."""
-    marked = docs.withColumn("_zq_key", F.xxhash64(F.struct("doc_id", "text")))
-    good = judged(checkpointed(measured(marked, ["doc_id", "_zq_key"]))).filter("kept").select(F.col("doc_id").alias("_zq_id"), F.col("_zq_key").alias("_zq_k")).distinct()
-    return marked.join(good, F.col("doc_id").eqNullSafe(F.col("_zq_id")) & (F.col("_zq_key") == F.col("_zq_k")), "left_semi").drop("_zq_key")
+    """The documents that are kept, with all their columns; rows go with their measures, so nothing is shuffled."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return judged(checkpointed(measured(rows, ["row"]))).filter("kept").select("row.*")
