@@ -18,12 +18,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.bpe import Cache
-from zonara.llm.common import cached_state, checkpointed, map_rows, small_batches
+from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, slices
 from zonara.llm.licences import words
 
 K1, B, DIGITS = 1.2, 0.75, 6
@@ -31,17 +29,15 @@ SHARD_WORDS, BLOCK, FREQUENT, FIRST = 6_000_000, 16, 8, 4
 FLUSH = 2_000_000
 
 
-def vector(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
-    """Sorted hashes of the distinct words, how often each stands there, and the number of words."""
-    w = words(text)
-    known = cached_state("search words", lambda: Cache(xxhash.xxh3_64_intdigest, 300_000))
-    h, n = np.unique(np.fromiter(map(known.__getitem__, w), np.uint64, len(w)).view(np.int64), return_counts=True)
-    return h, n, len(w)
+def vectors(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Of each text: sorted hashes of the distinct words, how often each stands there, and the number of words."""
+    h, sizes = cached_state("words of search", lambda: Hashes(words)).of(texts)
+    ends = np.cumsum(sizes)
+    return [(*np.unique(h[z - n : z].view(np.int64), return_counts=True), n) for z, n in zip(ends.tolist(), sizes.tolist())]
 
 
 def statistics(docs: DataFrame) -> DataFrame:
     """term and its n (documents), summed within tasks before the shuffle; where term is null, docs and words."""
-    small_batches(docs.sparkSession)
     names = ["term", "n", "docs", "words"]
 
     def run(batches):
@@ -51,9 +47,8 @@ def statistics(docs: DataFrame) -> DataFrame:
             terms, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             return terms, np.bincount(at, np.concatenate([p[1] for p in parts]), len(terms)).astype(np.int64)
 
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                h, _, n = vector(t)
+        for batch in slices(batches):
+            for h, _, n in vectors(batch.column(0).to_pylist()):
                 parts.append((h, np.ones(len(h))))
                 held, docs, total = held + len(h), docs + 1, total + n
             if held > FLUSH:
@@ -120,14 +115,13 @@ class Index:
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, doc_id, score: the k best documents for each row of queries (doc_id, text)."""
-    small_batches(docs.sparkSession)
     stats = checkpointed(statistics(docs))
     n_docs, n_words = stats.filter("term is null").agg(F.sum("docs"), F.sum("words")).head()
     n_docs, n_words = n_docs or 0, n_words or 0
     mean, shards = max(1.0, n_words) / max(1, n_docs), max(1, -(-n_words // SHARD_WORDS))
 
     def start():
-        return lambda ids, keys, texts: ((i, key, vector(t)[0]) for i, key, t in zip(ids, keys, texts))
+        return lambda ids, keys, texts: ((i, key, v[0]) for i, key, v in zip(ids, keys, vectors(texts)))
 
     asked = map_rows(queries.select("doc_id", F.xxhash64("text").alias("key"), "text"), ["doc_id", "key", "text"], "doc_id long, key long, terms array<long>", start)
     pairs = asked.dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.explode("terms").alias("term")).join(stats.select("term", "n"), "term")
@@ -136,19 +130,18 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     rows = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), F.col("doc_id").alias("id"), F.lit(None).cast("long").alias("key"), "text", F.lit(None).cast("array<long>").alias("terms"), F.lit(None).cast("array<double>").alias("weights"))
 
     def run(batches):
-        shard, ids, vectors, index = None, [], [], None
-        for batch in batches:
-            out = []
-            for s, kind, i, key, text, terms, weights in zip(*(c.to_pylist() for c in batch.columns[:5]), batch.column(5), batch.column(6)):
+        shard, ids, held, index = None, [], [], None
+        for batch in slices(batches):
+            out, made = [], vectors(batch.column(4).to_pylist())
+            for s, kind, i, key, v, terms, weights in zip(*(c.to_pylist() for c in batch.columns[:4]), made, batch.column(5), batch.column(6)):
                 if s != shard:
-                    shard, ids, vectors, index = s, [], [], None
+                    shard, ids, held, index = s, [], [], None
                 if kind == 0:
-                    v = vector(text)
                     if v[2]:
-                        ids.append(i), vectors.append(v)
+                        ids.append(i), held.append(v)
                 elif ids:
                     if index is None:
-                        index, vectors = Index(ids, vectors, mean), []
+                        index, held = Index(ids, held, mean), []
                     out += [(i, key, index.ids[d], x) for d, x in index.search(terms.values.to_numpy(), weights.values.to_numpy(), k)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], ["query_id", "key", "doc_id", "score"])
