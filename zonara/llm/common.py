@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 _STATE: dict = {}
+_USED: set = set()
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -48,14 +49,36 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def cached_state(key, build: Callable):
-    """What build() makes, once in a Python worker; it stays until another key is asked for, so that one stage's caches don't
-    lie beside the next one's."""
+    """What build() makes, once in a Python worker; it stays while the worker's tasks use it and no other."""
+    _USED.add(key)
     if key not in _STATE:
         _STATE.clear()
         _STATE[key] = build()
     return _STATE[key]
 
 
+def forget() -> None:
+    """Of a worker that goes on with another stage: what earlier stages left in it."""
+    _STATE.clear()
+
+
+def tidy(run: Callable) -> Callable:
+    """A task's function over Arrow batches, which it gets in small slices. Caches that the task didn't use go after it; rows
+    make no cycles, and each collection would go through the caches, so there is none meanwhile."""
+
+    def held(batches):
+        _USED.clear()
+        gc.disable()
+        try:
+            yield from run(slices(batches))
+        finally:
+            gc.enable()
+            if not _USED:
+                _STATE.clear()
+
+    return held
+
+
 class Memo(dict):
     """Numbers keys as they are looked up, and remembers what make(list of keys) gives for them: look up all keys of a batch,
     then index the list that `values` returns. It is emptied between batches when it holds too many keys or signs."""
@@ -111,16 +134,12 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, start: Callable[[],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = start()
-        gc.disable()  # rows make no cycles, and each collection would go through the caches
-        try:
-            for batch in slices(batches):
-                rows = list(each(*(column.to_pylist() for column in batch.columns)))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), out.types)], schema=out)
-        finally:
-            gc.enable()
+        for batch in batches:
+            rows = list(each(*(column.to_pylist() for column in batch.columns)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), out.types)], schema=out)
 
-    return df.select(*columns).mapInArrow(run, made)
+    return df.select(*columns).mapInArrow(tidy(run), made)
 
 
 def crc32_of_id(column: str = "doc_id"):

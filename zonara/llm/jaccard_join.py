@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, slices
+from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, tidy
 
 BUCKETS, BLOCKS, FAN_IN = 1 << 21, 64, 64
 WORDS = 16  # 64-bit words of a parity bitmap
@@ -114,7 +114,7 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
         from pyspark import TaskContext
 
         task, counts, any_row = TaskContext.get().partitionId(), np.zeros(BUCKETS, np.uint32), False
-        for batch in slices(batches):
+        for batch in batches:
             nodes, sizes, bits = [], [], []
             sets = shingle_sets(batch.column(2).to_pylist(), width)
             np.add.at(counts, (np.concatenate(sets) >> np.uint64(43)).astype(np.int64), 1)
@@ -128,7 +128,7 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
             none = pa.nulls(BLOCKS)
             yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip([none, none, none, none, none, pa.array(range(BLOCKS)), pa.array([task] * BLOCKS), pa.array(rows)], types)], names)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(tidy(run), schema)
 
 
 def sketch(profiles: DataFrame) -> np.ndarray:
@@ -156,7 +156,7 @@ def index(docs: DataFrame, width: int, percent: int, rank: np.ndarray) -> DataFr
 
     def run(batches):
         seen = set()
-        for batch in slices(batches):
+        for batch in batches:
             parts, nodes, fresh = [[], [], []], [], []
             for t in batch.column(0).to_pylist():
                 if (key := xxhash.xxh3_128_digest((t or "").encode("utf-8", "surrogatepass"))) in seen:
@@ -177,7 +177,7 @@ def index(docs: DataFrame, width: int, percent: int, rank: np.ndarray) -> DataFr
                 tokens, places, sizes = (pa.array(np.concatenate(p)) for p in parts)
                 yield pa.RecordBatch.from_arrays([tokens, pa.array(nodes, pa.binary()), places, sizes], ["token", "node", "pos", "n"])
 
-    return docs.select("text").mapInArrow(run, "token long, node binary, pos int, n int")
+    return docs.select("text").mapInArrow(tidy(run), "token long, node binary, pos int, n int")
 
 
 def fitting(percent: int, x: str = "", y: str = "_h"):

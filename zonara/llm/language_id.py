@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonara.llm.common import crc32_of_id, slices
+from zonara.llm.common import crc32_of_id, tidy
 
 PER_LANG, SPAN = 4000, 48
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 8, 3, 128, 0.02, 11
@@ -203,7 +203,7 @@ def identify(docs: DataFrame, trained_on: DataFrame | None = None) -> DataFrame:
     names, network = fitted(docs if trained_on is None else trained_on)
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in batches:
             texts = batch.column(2).to_pylist()
             lettered = [k for k, t in enumerate(texts) if t and LETTER.search(t)] if network else []
             lang, score = ["und"] * len(texts), [0.0] * len(texts)
@@ -213,4 +213,4 @@ def identify(docs: DataFrame, trained_on: DataFrame | None = None) -> DataFrame:
                     lang[k], score[k] = names[best], min(1.0, max(0.0, x))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select("doc_id", (crc32_of_id() % HELD_OUT == 0).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", (crc32_of_id() % HELD_OUT == 0).alias("held_out"), "text").mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double")

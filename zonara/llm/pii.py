@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonara.llm.common import map_rows
+from zonara.llm.common import forget, map_rows
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "national")
@@ -159,6 +159,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     @F.arrow_udf("string")
     def made(texts: pa.Array) -> pa.Array:
+        forget()
         return pa.array([redacted(t.as_py()) for t in texts], pa.string())
 
     return docs.withColumn("text", made("text"))

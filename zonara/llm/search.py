@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, slices
+from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, tidy
 from zonara.llm.licences import words
 
 K1, B, DIGITS = 1.2, 0.75, 6
@@ -47,7 +47,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             terms, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             return terms, np.bincount(at, np.concatenate([p[1] for p in parts]), len(terms)).astype(np.int64)
 
-        for batch in slices(batches):
+        for batch in batches:
             for h, _, n in vectors(batch.column(0).to_pylist()):
                 parts.append((h, np.ones(len(h))))
                 held, docs, total = held + len(h), docs + 1, total + n
@@ -61,7 +61,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n), *[pa.nulls(len(terms), pa.int64())] * 2], names)
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (None, None, docs, total)], names)
 
-    return docs.select("text").mapInArrow(run, "term long, n long, docs long, words long").groupBy("term").agg(*(F.sum(c).alias(c) for c in names[1:]))
+    return docs.select("text").mapInArrow(tidy(run), "term long, n long, docs long, words long").groupBy("term").agg(*(F.sum(c).alias(c) for c in names[1:]))
 
 
 class Index:
@@ -131,7 +131,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     def run(batches):
         shard, ids, held, index = None, [], [], None
-        for batch in slices(batches):
+        for batch in batches:
             out, made = [], vectors(batch.column(4).to_pylist())
             for s, kind, i, key, v, terms, weights in zip(*(c.to_pylist() for c in batch.columns[:4]), made, batch.column(5), batch.column(6)):
                 if s != shard:
@@ -146,6 +146,6 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], ["query_id", "key", "doc_id", "score"])
 
-    found = rows.unionByName(dealt).repartitionById(shards, "shard").sortWithinPartitions("shard", "kind", "id").mapInArrow(run, "query_id long, key long, doc_id long, score double")
+    found = rows.unionByName(dealt).repartitionById(shards, "shard").sortWithinPartitions("shard", "kind", "id").mapInArrow(tidy(run), "query_id long, key long, doc_id long, score double")
     best = Window.partitionBy("query_id", "key").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     return found.withColumn("score", F.round("score", DIGITS)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.common import checkpointed, map_rows
+from zonara.llm.common import checkpointed, forget, map_rows
 
 PER_CLASS, TERMS, STEM, FOLDS = 4000, 400, 5, 5
 LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-5, 400
@@ -168,6 +168,7 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def clean(texts: pa.Array) -> pa.Array:
+        forget()
         parts = [texts.slice(k, 256).to_pylist() for k in range(0, len(texts), 256)]
         return pa.array([bool(p < 0.5) for part in parts for p in chain.predict([terms_of(t) for t in part])[:, -1]], pa.bool_())
 
