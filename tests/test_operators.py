@@ -19,7 +19,7 @@ def cells(spark, rows):
 
 def test_entry_has_rows(spark):
     assert __spark_entry__.entry(spark).limit(1).count() == 1
-    assert set(SQL) < set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(SQL) <= set(QUERIES) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -86,8 +86,9 @@ def test_series(spark, tmp_path):
     rows = series.log_series(wide, "Concepto", "x", ["2003", "2022 R"]).orderBy("pos").collect()
     assert rows[0].log == float("-inf") and np.isnan(rows[1].log) and rows[1]["index"] == "2022 R"
     assert series.unpivot(wide, "Concepto", ["2003", "2022 R"]).filter("valor = 2e16").head().Concepto == "México"
-    with pytest.raises(ValueError):
-        series.only(wide, "Concepto", "none")
+    for bad in ("none", "y"):
+        with pytest.raises(Exception, match="rows with Concepto"):
+            series.only(wide.union(wide.limit(0)).union(spark.createDataFrame([("y", 1.0, 1.0)] * 2, wide.schema)), "Concepto", bad).collect()
 
 
 def test_features(spark, tmp_path):
@@ -103,6 +104,73 @@ def test_features(spark, tmp_path):
             geometry.outlines(found, sources.zones(spark, [bad])).collect()
 
 
+def test_histogram_of_nulls_odd_values_and_clashing_names(spark):
+    df = lambda v: spark.createDataFrame([(x, 7.0, 8.0, "e", 1) for x in v], "v double, a double, b double, edge string, bin int")
+    got = stats.histogram(df([1.0, 2.0, None])).orderBy("bin").collect()
+    assert [r.n for r in got] == np.histogram([1.0, 2.0], 50)[0].tolist()
+    for bad in (float("nan"), float("inf")):
+        with pytest.raises(Exception, match="finite"):
+            stats.histogram(df([1.0, bad])).collect()
+    assert stats.histogram(df([])).count() == 0 and stats.histogram(df([None]), "a").count() == 0
+    assert stats.histogram(df([1.0, 2.0, 2.0]), "edge").filter("n > 0").count() == 2
+
+
+def test_raster_operators_keep_clashing_names(spark):
+    df = spark.createDataFrame([(0, 0, 3.0, 1, 2, 3.0, True)], "y int, x int, v double, dy int, dx int, top double, hit boolean")
+    assert raster.upscale(df).columns == df.columns and raster.upscale(df).filter("dy = 1 and dx = 2").count() == 4
+    assert raster.clip(df).columns == df.columns and raster.burn(df, df).head().v == 2500.0
+    empty = df.limit(0)
+    assert raster.upscale(empty).count() == raster.clip(empty).count() == raster.without(empty, df).count() == 0
+
+
+def test_crop_of_a_zone_by_numpy(spark):
+    image = np.random.default_rng(3).normal(size=(12, 9))
+    packed = spark.createDataFrame([(y, r.tolist()) for y, r in enumerate(image)], "y int, row array<double>")
+    ring = [(2.5, 3.2), (7.1, 4.0), (5.3, 10.4), (2.5, 3.2)]
+    pixels = spark.createDataFrame([("z", k, x, y) for k, (x, y) in enumerate(ring)], "zone string, seq int, px double, py double")
+    windows, local, sizes = raster.crop_images(packed, pixels, 2)
+    xs, ys = np.array(ring).T
+    (xlo, xhi), (ylo, yhi) = ((int(np.ceil(v.min())) - 1, int(np.ceil(v.max())) + 1) for v in (xs, ys))
+    cut = np.kron(image[ylo:yhi, xlo:xhi], np.ones((2, 2)))
+    got = np.full(cut.shape, np.nan)
+    for r in raster.upscale(windows).collect():
+        got[r.y, r.x] = r.v
+    assert np.array_equal(got, np.clip(cut, 0, cut.max())) and sizes.head()[1:] == cut.shape[::-1]
+    assert np.allclose([(r.x, r.y) for r in local.orderBy("seq").collect()], np.column_stack([(xs - xlo) * 2, (ys - ylo) * 2]))
+    with pytest.raises(Exception, match="outside the raster"):
+        raster.crop_zones(packed, geometry.crop_bounds(pixels.withColumn("px", F.col("px") - 3))).collect()
+
+
+def test_fill_by_breadth_first_search():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        w, h = (int(x) for x in rng.integers(1, 15, 2))
+        walls = {(int(x), int(y)) for x, y in zip(rng.integers(-2, w + 2, w * h // 2), rng.integers(-2, h + 2, w * h // 2))}
+        seed = int(rng.integers(w)), int(rng.integers(h))
+        seen, queue = {seed}, [seed]
+        for x, y in queue:
+            for p in ((x - 1, y), (x + 1, y), (x, y - 1), (x, y + 1)):
+                if 0 <= p[0] < w and 0 <= p[1] < h and p not in seen and p not in walls:
+                    seen.add(p)
+                    queue.append(p)
+        assert fill.filled(w, h, seed, walls) == sorted(seen)
+
+
+def test_grid_source_by_its_format(spark, tmp_path):
+    # a stand-in for the module that reads grid files
+    (tmp_path / "h5py.py").write_text("""
+import numpy as np
+def File(path, mode):
+    d, t = np.arange(10.0).reshape(5, 2), np.array(b"UpperLeftPointMtrs=(1,2)")
+    return {"G": {"d": d}, "t": t, "G/d": d}
+""")
+    spark.sparkContext.addPyFile(str(tmp_path / "h5py.py"))
+    rows = sources.grid(spark, "p", dataset="G/d", lines="2")
+    assert rows.rdd.getNumPartitions() == 3 and [tuple(r) for r in rows.orderBy("y").collect()] == [(y, [2.0 * y, 2.0 * y + 1]) for y in range(5)]
+    assert sources.grid(spark, "p", dataset="t", mode="metadata").head().text == "UpperLeftPointMtrs=(1,2)"
+    assert [r.line for r in sources.listing(sources.grid(spark, "p", mode="catalog")).collect()] == ["- G", "  - d", "- t", "- G/d"]
+
+
 def test_grid_source_over_a_stub():
     class Data(np.ndarray):
         pass
@@ -111,7 +179,7 @@ def test_grid_source_over_a_stub():
     assert list(sources.tree(grid)) == [(0, "G", True), (1, "d", False), (0, "t", False)]
     flat = {"G/d": grid["G"]["d"]}
     r = sources.GridReader({"path": "p", "dataset": "G/d", "lines": "2"}, lambda p: flat)
-    assert [row for p in r.partitions() for row in r.read(p)] == [(0, [0.0, 1.0]), (1, [2.0, 3.0]), (2, [4.0, 5.0])]
+    assert [tuple(row.values()) for p in r.partitions() for b in r.read(p) for row in b.to_pylist()] == [(0, [0.0, 1.0]), (1, [2.0, 3.0]), (2, [4.0, 5.0])]
 
 
 def test_georef_without_a_corner(spark):

@@ -1 +1,9 @@
 """Raster, geometry, fill, statistics and series operators as DataFrame compositions."""
+
+
+def unused(columns: list[str], stem: str) -> str:
+    """A column name that a table does not have."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem

@@ -2,36 +2,53 @@
 
 from __future__ import annotations
 
-from collections import deque
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def filled(width: int, height: int, seed: tuple[int, int], walls: set[tuple[int, int]]) -> list[tuple[int, int]]:
-    """4-connected from the seed, which is always in; walls and the edge stop it."""
+def mask(width: int, height: int, seed: tuple[int, int], xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """The filled pixels [height, width], 4-connected from the seed, which is always in; walls (xs, ys) and the edge stop it. Runs of
+    a line are filled at once."""
     if not (0 <= seed[0] < width and 0 <= seed[1] < height):
         raise ValueError(f"the seed {seed} is outside the {width} x {height} window")
-    seen, queue = {seed}, deque([seed])
-    while queue:
-        x, y = queue.popleft()
-        for p in ((x - 1, y), (x + 1, y), (x, y - 1), (x, y + 1)):
-            if 0 <= p[0] < width and 0 <= p[1] < height and p not in seen and p not in walls:
-                seen.add(p)
-                queue.append(p)
-    return sorted(seen)
+    open_ = np.ones((height, width), bool)
+    inside = (xs >= 0) & (xs < width) & (ys >= 0) & (ys < height)
+    open_[ys[inside], xs[inside]] = False
+    open_[seed[1], seed[0]] = True
+    out, stack = np.zeros_like(open_), [seed]
+    while stack:
+        x, y = stack.pop()
+        if not open_[y, x]:
+            continue
+        walls = np.flatnonzero(~open_[y])
+        k = int(np.searchsorted(walls, x))
+        lo, hi = (int(walls[k - 1]) + 1 if k else 0), (int(walls[k]) if k < len(walls) else width)
+        out[y, lo:hi], open_[y, lo:hi] = True, False
+        for line in (y - 1, y + 1):
+            if 0 <= line < height:
+                part = open_[line, lo:hi]
+                stack += [(lo + int(a), line) for a in np.flatnonzero(part & ~np.concatenate([[False], part[:-1]]))]
+    return out
+
+
+def filled(width: int, height: int, seed: tuple[int, int], walls: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    xs, ys = (np.array([w[k] for w in walls], np.int64) for k in (0, 1))
+    return sorted((int(x), int(y)) for y, x in zip(*mask(width, height, seed, xs, ys).nonzero()))
 
 
 def flood_fill(border: DataFrame, seeds: DataFrame) -> DataFrame:
     """zone, x, y. seeds: zone, x, y, width, height. Zones run side by side; a task holds one zone's window, no raster values.
-    A zone without border is an error, not a zone less."""
+    A zone without border is an error, not a zone less. A caller may give other seeds than the centroids."""
 
     def one(walls: pd.DataFrame, seed: pd.DataFrame) -> pd.DataFrame:
         if seed.empty or walls.empty:
             raise ValueError(f"empty border or no seed: {(seed if len(seed) else walls).zone.iloc[0]}")
         s = seed.iloc[0]
-        out = filled(int(s.width), int(s.height), (int(s.x), int(s.y)), set(zip(walls.x.tolist(), walls.y.tolist())))
-        return pd.DataFrame({"zone": [s.zone] * len(out), "x": [p[0] for p in out], "y": [p[1] for p in out]})
+        ys, xs = mask(int(s.width), int(s.height), (int(s.x), int(s.y)), walls.x.to_numpy(), walls.y.to_numpy()).nonzero()
+        return pd.DataFrame({"zone": [s.zone] * len(xs), "x": xs.astype("int32"), "y": ys.astype("int32")})
 
     kind = dict(border.dtypes)["zone"]
-    return border.select("zone", "x", "y").distinct().groupBy("zone").cogroup(seeds.groupBy("zone")).applyInPandas(one, f"zone {kind}, x int, y int")
+    own = seeds.select(F.col("zone").alias("zone"), "x", "y", "width", "height")  # both sides can come from one table
+    return border.select("zone", "x", "y").distinct().groupBy("zone").cogroup(own.groupBy("zone")).applyInPandas(one, f"zone {kind}, x int, y int")

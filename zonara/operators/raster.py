@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonara.operators import geometry, unused
+
 
 def explode_rows(packed: DataFrame, *keys: str) -> DataFrame:
     """Packed rows (y, row array) to cells."""
@@ -23,37 +25,60 @@ def crop(cells: DataFrame, ylo: int, yhi: int, xlo: int, xhi: int) -> DataFrame:
     return cells.filter((F.col("y") >= ylo) & (F.col("y") < yhi) & (F.col("x") >= xlo) & (F.col("x") < xhi))
 
 
-def crop_zones(cells: DataFrame, windows: DataFrame) -> DataFrame:
-    """The cells of each zone's window (zone, ylo, yhi, xlo, xhi). Windows are small next to the raster; each is spread over
-    its lines, so the join is by y and never a product of all cells and zones."""
-    lines = windows.withColumn("y", F.explode(F.sequence("ylo", F.col("yhi") - 1)))
-    return cells.join(lines, "y").filter((F.col("x") >= F.col("xlo")) & (F.col("x") < F.col("xhi"))).select("zone", "y", "x", "v")
+def shape(packed: DataFrame) -> DataFrame:
+    """height and width of a raster of packed lines, as one row."""
+    return packed.agg((F.max("y") + 1).cast("int").alias("height"), F.max(F.size("row")).alias("width"))
+
+
+def crop_zones(packed: DataFrame, bounds: DataFrame) -> DataFrame:
+    """zone, y, x, v: the cells of each zone's window (zone, ylo, yhi, xlo, xhi), in coordinates of the window. Windows are small
+    next to the raster; each is spread over its lines, so the join is by line, and only the window's part of a line is
+    exploded. A window that starts outside the raster is an error; the far edge clamps."""
+    inside = F.when((F.col("ylo") < 0) | (F.col("xlo") < 0), F.raise_error(F.concat(F.lit("the window starts outside the raster: zone "), F.col("zone").cast("string"))).cast("int")).otherwise(F.col("ylo"))
+    lines = bounds.select("zone", "ylo", "xlo", "xhi", F.explode(F.sequence(inside, F.col("yhi") - 1)).alias("y"))
+    part = F.slice("row", F.col("xlo") + 1, F.greatest(F.least("xhi", F.size("row")) - F.col("xlo"), F.lit(0)))
+    cut = packed.select("y", "row").join(lines, "y").select("zone", (F.col("y") - F.col("ylo")).cast("int").alias("y"), F.posexplode(part).alias("x", "v"))
+    return cut.withColumn("v", F.col("v").cast("double"))
 
 
 def clip(cells: DataFrame, *keys: str) -> DataFrame:
     """v between 0 and the largest of the window, lower bound first; a NaN makes the window NaN."""
-    top = cells.groupBy(*keys).agg(F.max("v").alias("_top"))
-    with_top = cells.join(top, list(keys)) if keys else cells.crossJoin(F.broadcast(top))
-    return with_top.withColumn("v", F.when(F.isnan("_top"), F.lit(float("nan"))).otherwise(F.least(F.greatest("v", F.lit(0.0)), "_top"))).drop("_top")
+    top = unused(cells.columns, "top")
+    most = cells.groupBy(*keys).agg(F.max("v").alias(top))
+    with_top = cells.join(most, list(keys)) if keys else cells.crossJoin(F.broadcast(most))
+    clipped = F.when(F.isnan(top), F.lit(float("nan"))).otherwise(F.least(F.greatest("v", F.lit(0.0)), top))
+    return with_top.withColumn("v", clipped).select(*cells.columns)
 
 
 def upscale(cells: DataFrame, factor: int = 2) -> DataFrame:
     """Each cell as a block of factor x factor."""
-    d = F.sequence(F.lit(0), F.lit(factor - 1))
-    out = cells.withColumn("_dy", F.explode(d)).withColumn("_dx", F.explode(d))
-    return out.withColumns({"y": F.col("y") * factor + F.col("_dy"), "x": F.col("x") * factor + F.col("_dx")}).drop("_dy", "_dx")
+    d, dy = F.sequence(F.lit(0), F.lit(factor - 1)), unused(cells.columns, "dy")
+    dx = unused([*cells.columns, dy], "dx")
+    out = cells.withColumn(dy, F.explode(d)).withColumn(dx, F.explode(d))
+    return out.withColumns({"y": F.col("y") * factor + F.col(dy), "x": F.col("x") * factor + F.col(dx)}).select(*cells.columns)
+
+
+def crop_images(packed: DataFrame, pixels: DataFrame, factor: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For every zone at once: its window, clipped, in source pixels (zone, y, x, v; `upscale` repeats them); its ring in the window's
+    coordinates times factor (zone, seq, x, y); and the size of its upscaled window (zone, width, height)."""
+    bounds = geometry.crop_bounds(pixels)
+    whole = F.broadcast(shape(packed).withColumnsRenamed({"height": "all_lines", "width": "all_samples"}))  # one row
+    sizes = bounds.crossJoin(whole).select("zone", ((F.least("xhi", "all_samples") - F.col("xlo")) * factor).alias("width"), ((F.least("yhi", "all_lines") - F.col("ylo")) * factor).alias("height"))
+    return clip(crop_zones(packed, bounds), "zone"), geometry.localised(pixels, bounds, factor), sizes
 
 
 def burn(cells: DataFrame, border: DataFrame, value: float = 2500.0) -> DataFrame:
     """The value at every border pixel."""
-    marks = border.select("x", "y").distinct().withColumn("_hit", F.lit(True))
-    return cells.join(marks, ["x", "y"], "left").select("y", "x", F.when(F.col("_hit"), F.lit(value)).otherwise(F.col("v")).alias("v"))
+    hit = unused(cells.columns, "hit")
+    marks = border.select("x", "y").distinct().withColumn(hit, F.lit(True))
+    return cells.join(marks, ["x", "y"], "left").withColumn("v", F.when(F.col(hit), F.lit(value)).otherwise(F.col("v"))).select("y", "x", "v")
+
+
+def without(cells: DataFrame, border: DataFrame) -> DataFrame:
+    """The cells that are no border pixels."""
+    return cells.join(border.select("x", "y").distinct(), ["x", "y"], "left_anti").select(*cells.columns)
 
 
 def preview(cells: DataFrame, lines: int) -> DataFrame:
     """The first lines as packed rows, for a plotter."""
     return pack_rows(cells.filter(F.col("y") < lines)).orderBy("y")
-
-
-def within(x: Column, y: Column, width: int, height: int) -> Column:
-    return (x >= 0) & (x < width) & (y >= 0) & (y < height)

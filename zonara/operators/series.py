@@ -19,11 +19,11 @@ def log(v: Column) -> Column:
 
 
 def only(wide: DataFrame, label: str, value: str) -> DataFrame:
-    """The one row with that label; none or several are an error."""
-    rows = wide.filter(F.col(label) == F.lit(value))
-    if (n := len(rows.limit(2).collect())) != 1:
-        raise ValueError(f"{'no row' if not n else 'several rows'} with {label} = {value!r}")
-    return rows
+    """The one row with that label; none or several are an error when the plan runs."""
+    found = wide.filter(F.col(label) == F.lit(value)).agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*wide.columns)).alias("row"))
+    error = F.concat(F.col("n").cast("string"), F.lit(f" rows with {label} = {value}, not one"))
+    row = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(error))
+    return found.select(row.alias("row")).select("row.*")
 
 
 def log_series(wide: DataFrame, label: str, value: str, periods: list[str]) -> DataFrame:

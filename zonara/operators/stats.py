@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonara.operators import unused
+
 BINS = 50
 
 
@@ -18,18 +20,31 @@ def summary(values: DataFrame, *keys: str) -> DataFrame:
 
 def histogram(values: DataFrame, *keys: str, bins: int = BINS) -> DataFrame:
     """bin, lo, hi, n for every bin between a group's least and largest value, the last closed; one value alone lies in the
-    middle of a range one wide. Counts are summed by bin before they meet the edges."""
-    edge = values.groupBy(*keys).agg(F.min("v").alias("a"), F.max("v").alias("b"))
-    flat = F.col("a") == F.col("b")
-    edge = edge.select(*keys, F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("a"), F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("b"))
-    both = values.join(edge, list(keys)) if keys else values.crossJoin(F.broadcast(edge))
-    at = F.least(F.floor((F.col("v") - F.col("a")) * bins / (F.col("b") - F.col("a"))), F.lit(bins - 1)).cast("int")
-    counts = both.groupBy(*keys, at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    width = (F.col("b") - F.col("a")) / bins
-    every = edge.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return every.join(counts, [*keys, "bin"], "left").select(*keys, "bin", (F.col("a") + F.col("bin") * width).alias("lo"), (F.col("a") + (F.col("bin") + 1) * width).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"))
-
-
-def gather(zone_cells: DataFrame, cells: DataFrame) -> DataFrame:
-    """The values of each zone's pixels."""
-    return zone_cells.join(cells, ["y", "x"])
+    middle of a range one wide. Nulls are not counted; a NaN or an infinite value is an error. Other columns are ignored, and
+    counts are summed by bin before they meet the edges."""
+    v, edge, at = (unused([*keys, "bin", "lo", "hi", "n"], c) for c in ("v", "edge", "at"))
+    odd = F.isnan("v") | (F.abs("v") == F.lit(float("inf")))
+    finite = F.when(odd, F.raise_error(F.lit("a histogram needs finite values")).cast("double")).otherwise(F.col("v"))
+    clean = values.filter("v is not null").select(*keys, finite.alias(v))
+    a, b = F.min(v), F.max(v)
+    half = F.when(a == b, F.lit(0.5)).otherwise(F.lit(0.0))
+    edges = clean.groupBy(*keys).agg(F.struct((a - half).alias("a"), (b + half).alias("b")).alias(edge)).filter(F.col(f"{edge}.a").isNotNull())
+    both = clean.join(edges, list(keys)) if keys else clean.crossJoin(F.broadcast(edges))
+    lo, hi = F.col(f"{edge}.a"), F.col(f"{edge}.b")
+    counts = both.groupBy(*keys, F.least(F.floor((F.col(v) - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias(at))
+    every = edges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = (hi - lo) / bins
+    return every.join(counts, [*keys, "bin"], "left").select(*keys, "bin", (lo + F.col("bin") * width).alias("lo"), (lo + (F.col("bin") + 1) * width).alias("hi"), F.coalesce(at, F.lit(0)).alias("n"))
+
+
+def gather(zone_cells: DataFrame, packed: DataFrame) -> DataFrame:
+    """zone, y, x, v: the values of each zone's pixels. packed: raster lines (y, row), which are never exploded; the zones' pixels
+    meet them by line."""
+    return zone_cells.join(packed.select("y", "row"), "y").select("zone", "y", "x", F.element_at("row", F.col("x") + 1).cast("double").alias("v"))
+
+
+def gather_upscaled(zone_cells: DataFrame, windows: DataFrame, factor: int) -> DataFrame:
+    """zone, y, x, v of pixels in upscaled coordinates. windows: zone, y, x, v in source pixels of the zone's crop; a value stands
+    for factor x factor pixels and is not repeated before the join."""
+    at = zone_cells.select("zone", "y", "x", F.expr(f"y div {factor}").cast("int").alias("sy"), F.expr(f"x div {factor}").cast("int").alias("sx"))
+    return at.join(windows.select("zone", F.col("y").alias("sy"), F.col("x").alias("sx"), "v"), ["zone", "sy", "sx"]).select("zone", "y", "x", "v")

@@ -35,6 +35,10 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.to_pixel(world(spark, sf_dir), UL_X, UL_Y, HEIGHT, WIDTH)
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.raster_parquet(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding").withColumn("y", F.col("y").cast("int"))
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.explode_rows(sources.raster_parquet(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding"))
 
@@ -50,7 +54,15 @@ def zone_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.gather(zone_cells(spark, sf_dir), cells(spark, sf_dir))
+    return stats.gather(zone_cells(spark, sf_dir), packed(spark, sf_dir))
+
+
+def upscaled_values(spark: SparkSession, sf_dir: str, factor: int = 2) -> DataFrame:
+    """The whole chain for every zone: crop, upscale, clip, local coordinates, border, centroid, fill, values."""
+    windows, ring, sizes = raster.crop_images(packed(spark, sf_dir), pixels(spark, sf_dir), factor)
+    edge = geometry.densify(ring)
+    seeds = geometry.centroid(edge).join(sizes, "zone").select("zone", F.col("cx").cast("int").alias("x"), F.col("cy").cast("int").alias("y"), "width", "height")
+    return stats.gather_upscaled(fill.flood_fill(edge, seeds), windows, factor)
 
 
 def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,11 +88,11 @@ def raster_crop(spark, sf_dir):
 
 
 def raster_clip(spark, sf_dir):
-    return rounded(raster.clip(raster.crop(cells(spark, sf_dir), 10, 40, 5, 50)))
+    return rounded(raster.crop_images(packed(spark, sf_dir), pixels(spark, sf_dir))[0])
 
 
 def raster_upscale(spark, sf_dir):
-    return rounded(raster.upscale(raster.crop(cells(spark, sf_dir), 10, 40, 5, 50)))
+    return rounded(raster.upscale(raster.crop_images(packed(spark, sf_dir), pixels(spark, sf_dir))[0]))
 
 
 def raster_clip_all(spark, sf_dir):
@@ -102,10 +114,10 @@ def georef_parse(spark, sf_dir):
 
 
 def feature_lookup(spark, sf_dir):
-    zones = spark.range(16).select(F.col("id").cast("int").alias("k"))
-    named = table(spark, sf_dir, "events").select(F.get_json_object("props", "$.k").cast("int").alias("k"), "event_id", "value")
-    first = named.filter("k between 0 and 15").groupBy("k").agg(F.min("event_id").alias("event_id"), F.min_by("value", "event_id").alias("value"))
-    return rounded(zones.join(first, "k"))
+    point = F.array(F.col("event_id").cast("double"), "value")
+    features = table(spark, sf_dir, "events").select(F.col("event_id").alias("ord"), F.get_json_object("props", "$.k").alias("name"), F.lit("Polygon").alias("kind"), F.array(F.array(point)).alias("coordinates"))
+    found = geometry.outlines(features, sources.zones(spark, [str(k) for k in range(16)]))
+    return rounded(found.select(F.col("zone").cast("int").alias("k"), F.col("x").cast("long").alias("event_id"), F.col("y").alias("value")))
 
 
 def world_to_pixel(spark, sf_dir):
@@ -125,7 +137,7 @@ def polygon_centroid(spark, sf_dir):
 
 
 def border_antijoin(spark, sf_dir):
-    return rounded(cells(spark, sf_dir).join(border(spark, sf_dir).select("x", "y").distinct(), ["x", "y"], "left_anti").select("y", "x", "v"))
+    return rounded(raster.without(cells(spark, sf_dir), border(spark, sf_dir)))
 
 
 def flood_fill(spark, sf_dir):
@@ -140,6 +152,30 @@ def zonal_histogram(spark, sf_dir):
     return rounded(stats.histogram(zone_values(spark, sf_dir), "zone"))
 
 
+def zonal_stats_upscaled(spark, sf_dir):
+    return rounded(stats.summary(upscaled_values(spark, sf_dir), "zone"))
+
+
+def zonal_histogram_upscaled(spark, sf_dir):
+    return rounded(stats.histogram(upscaled_values(spark, sf_dir), "zone"))
+
+
+def zone_window_histogram(spark, sf_dir):
+    return rounded(stats.histogram(raster.crop_images(packed(spark, sf_dir), pixels(spark, sf_dir), 1)[0], "zone"))
+
+
+def zone_outline_local(spark, sf_dir):
+    return rounded(raster.crop_images(packed(spark, sf_dir), pixels(spark, sf_dir))[1])
+
+
+def raster_shape(spark, sf_dir):
+    return raster.shape(packed(spark, sf_dir))
+
+
+def raster_preview(spark, sf_dir):
+    return rounded(raster.preview(cells(spark, sf_dir), 250).select("y", F.size("row").alias("samples"), F.element_at("row", 1).alias("first"), F.element_at("row", -1).alias("last")))
+
+
 def window_histogram(spark, sf_dir):
     return rounded(stats.histogram(raster.crop(cells(spark, sf_dir), 10, 40, 5, 50)))
 
@@ -150,9 +186,10 @@ def zone_overlay(spark, sf_dir):
 
 
 def catalog_names(spark, sf_dir):
-    region = table(spark, sf_dir, "region").select(F.struct(F.col("r_regionkey").alias("ord"), F.struct(F.col("r_name").alias("NOMGEO")).alias("properties")).alias("f"))
+    geometry_ = F.struct(F.lit("Polygon").alias("type"), F.array().cast("array<array<array<double>>>").alias("coordinates"))
+    region = table(spark, sf_dir, "region").select(F.struct(F.col("r_regionkey").alias("at"), F.struct(F.col("r_name").alias("NOMGEO")).alias("properties"), geometry_.alias("geometry")).alias("f"))
     doc = region.agg(F.sort_array(F.collect_list("f")).alias("features"))  # one small document, as a boundary file is
-    return doc.select(F.inline("features")).select("ord", F.col("properties.NOMGEO").alias("name"))
+    return sources.feature_rows(doc).select("ord", "name")
 
 
 def catalog_tree(spark, sf_dir):
@@ -160,4 +197,4 @@ def catalog_tree(spark, sf_dir):
     return sources.listing(spark.createDataFrame([(k, *row) for k, row in enumerate(sources.tree(nested))], "ord int, depth int, name string, is_group boolean"))
 
 
-QUERIES = {f.__name__: f for f in (zonal_stats, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree)}
+QUERIES = {f.__name__: f for f in (zonal_stats, zonal_stats_upscaled, zonal_histogram_upscaled, zone_window_histogram, zone_outline_local, raster_shape, raster_preview, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree)}

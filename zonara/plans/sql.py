@@ -3,16 +3,21 @@
 _CELLS = "cell AS (SELECT CAST(vec_id AS INT) AS y, CAST(unnest(range(len(embedding))) AS INT) AS x, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"
 _RING = """ring AS (SELECT n_nationkey AS zone, seq, CAST(32.0 + dx AS DOUBLE) AS x, CAST(10.0 + 20 * n_nationkey + dy AS DOUBLE) AS y
   FROM nation, (VALUES (0, -8, 1), (1, -3, -7), (2, 4, -8), (3, 9, -2), (4, 6, 6), (5, -2, 8), (6, -8, 1)) o(seq, dx, dy))"""
-_BORDER = f"""{_RING},
-seg AS (SELECT zone, seq, x AS x0, y AS y0, lead(x) OVER w AS x1, lead(y) OVER w AS y1 FROM ring WINDOW w AS (PARTITION BY zone ORDER BY seq)),
+
+
+def _border(ring: str) -> str:
+    return f"""seg AS (SELECT zone, seq, x AS x0, y AS y0, lead(x) OVER w AS x1, lead(y) OVER w AS y1 FROM {ring} WINDOW w AS (PARTITION BY zone ORDER BY seq)),
 sample AS (SELECT *, CASE WHEN k = 99 THEN x1 ELSE k * ((x1 - x0) / 99) + x0 END AS px FROM seg, range(100) r(k)
   WHERE x1 IS NOT NULL AND sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) > 1),
 border AS (SELECT zone, seq, CAST(k AS INT) AS k, CAST(trunc(px) AS INT) AS x, CAST(trunc((y1 - y0) / (x1 - x0) * (px - x0) + y0) AS INT) AS y FROM sample),
 wall AS (SELECT DISTINCT zone, x, y FROM border)"""
-_CENTRE = f"""{_BORDER},
-pair AS (SELECT zone, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y1 FROM border WINDOW w AS (PARTITION BY zone ORDER BY seq, k)),
+
+
+_CENTROID = """pair AS (SELECT zone, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y1 FROM border WINDOW w AS (PARTITION BY zone ORDER BY seq, k)),
 crossed AS (SELECT *, CAST(x AS BIGINT) * y1 - CAST(x1 AS BIGINT) * y AS c FROM pair),
 centre AS (SELECT zone, CAST(sum((x + x1) * c) AS DOUBLE) / (6 * (CAST(sum(c) AS DOUBLE) * 0.5)) AS cx, CAST(sum((y + y1) * c) AS DOUBLE) / (6 * (CAST(sum(c) AS DOUBLE) * 0.5)) AS cy FROM crossed GROUP BY zone)"""
+_BORDER = f"{_RING}, {_border('ring')}"
+_CENTRE = f"{_BORDER}, {_CENTROID}"
 _FILL = f"""{_CENTRE},
 fill AS (SELECT zone, CAST(trunc(cx) AS INT) AS x, CAST(trunc(cy) AS INT) AS y FROM centre
   UNION
@@ -23,6 +28,19 @@ _WIDE = "wide AS (SELECT o_orderpriority, " + ", ".join(f"""coalesce(round(sum(C
 _LONG = """long AS (SELECT o_orderpriority, CAST(CAST("index" AS INT) - 1992 AS INT) AS pos, "index", valor FROM wide UNPIVOT (valor FOR "index" IN ("1992", "1993", "1994", "1995", "1996", "1997", "1998")))"""
 _PIXEL = f"{_RING}, pixel AS (SELECT zone, seq, ((-100.0::DOUBLE + x * 0.15::DOUBLE) - -100.0::DOUBLE) / (10.0::DOUBLE / 64) AS px, (30.0::DOUBLE - (30.0::DOUBLE - y * 0.02::DOUBLE)) / (10.0::DOUBLE / 500) AS py FROM ring)"
 _WINDOW = "win AS (SELECT * FROM cell WHERE y >= 10 AND y < 40 AND x >= 5 AND x < 50)"
+_CROP = f"""{_PIXEL}, {_CELLS},
+size AS (SELECT max(y) + 1 AS height, max(x) + 1 AS width FROM cell),
+bound AS (SELECT zone, CAST(ceil(min(px)) - 1 AS INT) AS xlo, CAST(ceil(max(px)) + 1 AS INT) AS xhi, CAST(ceil(min(py)) - 1 AS INT) AS ylo, CAST(ceil(max(py)) + 1 AS INT) AS yhi FROM pixel GROUP BY zone),
+cut AS (SELECT zone, CAST(y - ylo AS INT) AS y, CAST(x - xlo AS INT) AS x, v FROM bound, cell WHERE y >= ylo AND y < yhi AND x >= xlo AND x < xhi),
+image AS (SELECT zone, y, x, least(greatest(v, 0), max(v) OVER (PARTITION BY zone)) AS v FROM cut),
+local AS (SELECT zone, seq, (px - xlo) * 2 AS x, (py - ylo) * 2 AS y FROM pixel JOIN bound USING (zone))"""
+_UPSCALED = f"""{_CROP}, {_border('local')}, {_CENTROID},
+fill AS (SELECT zone, CAST(trunc(cx) AS INT) AS x, CAST(trunc(cy) AS INT) AS y FROM centre
+  UNION
+  SELECT f.zone, f.x + dx, f.y + dy FROM fill f JOIN bound ON bound.zone = f.zone, size, (VALUES (-1, 0), (1, 0), (0, -1), (0, 1)) d(dx, dy)
+  WHERE f.x + dx >= 0 AND f.x + dx < 2 * (least(xhi, width) - xlo) AND f.y + dy >= 0 AND f.y + dy < 2 * (least(yhi, height) - ylo)
+    AND NOT EXISTS (SELECT 1 FROM wall b WHERE b.zone = f.zone AND b.x = f.x + dx AND b.y = f.y + dy)),
+val AS (SELECT f.zone, v FROM fill f JOIN image i ON i.zone = f.zone AND i.y = f.y // 2 AND i.x = f.x // 2)"""
 
 
 def _histogram(keys: str) -> str:
@@ -37,15 +55,23 @@ SELECT {k}bin, round(a + bin * ((b - a) / 50), 6) AS lo, round(a + (bin + 1) * (
 FROM (SELECT edge.*, CAST(r.bin AS INT) AS bin FROM edge, range(50) r(bin)) LEFT JOIN num USING ({k}bin)"""
 
 
+_SUMMARY = """SELECT zone, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(max(v), 6) AS max, round(min(v), 6) AS min,
+round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75 FROM val GROUP BY zone"""
+
 SQL = {
-    "zonal_stats": f"""WITH RECURSIVE {_VALUES} SELECT zone, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(max(v), 6) AS max, round(min(v), 6) AS min,
-round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75 FROM val GROUP BY zone""",
+    "zonal_stats": f"WITH RECURSIVE {_VALUES} {_SUMMARY}",
+    "zonal_stats_upscaled": f"WITH RECURSIVE {_UPSCALED} {_SUMMARY}",
+    "zonal_histogram_upscaled": f"WITH RECURSIVE {_UPSCALED}, {_histogram('zone')}",
+    "zone_window_histogram": f"WITH {_CROP}, val AS (SELECT zone, v FROM image), {_histogram('zone')}",
+    "zone_outline_local": f"WITH {_CROP} SELECT zone, seq, round(x, 6) AS x, round(y, 6) AS y FROM local",
+    "raster_shape": f"WITH {_CELLS} SELECT CAST(max(y) + 1 AS INT) AS height, CAST(max(x) + 1 AS INT) AS width FROM cell",
+    "raster_preview": "SELECT CAST(vec_id AS INT) AS y, CAST(len(embedding) AS INT) AS samples, round(CAST(embedding[1] AS DOUBLE), 6) AS first, round(CAST(embedding[-1] AS DOUBLE), 6) AS last FROM embeddings WHERE vec_id < 250",
     "series_log": f"WITH {_WIDE}, {_LONG} SELECT o_orderpriority, pos, \"index\", round(valor, 6) AS valor, round(CASE WHEN valor < 0 THEN 'nan'::DOUBLE WHEN valor = 0 THEN '-inf'::DOUBLE ELSE ln(valor) END, 6) AS log FROM long WHERE o_orderpriority = '1-URGENT'",
     "series_unpivot": f"WITH {_WIDE}, {_LONG} SELECT o_orderpriority, pos, \"index\", round(valor, 6) AS valor FROM long",
     "raster_cells": f"WITH {_CELLS} SELECT y, x, round(v, 6) AS v FROM cell",
     "raster_crop": f"WITH {_CELLS} SELECT y, x, round(v, 6) AS v FROM cell WHERE y BETWEEN 0 AND 249 AND x BETWEEN 0 AND 254",
-    "raster_clip": f"WITH {_CELLS}, {_WINDOW} SELECT y, x, round(least(greatest(v, 0), max(v) OVER ()), 6) AS v FROM win",
-    "raster_upscale": f"WITH {_CELLS}, {_WINDOW} SELECT CAST(y * 2 + dy AS INT) AS y, CAST(x * 2 + dx AS INT) AS x, round(v, 6) AS v FROM win, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx)",
+    "raster_clip": f"WITH {_CROP} SELECT zone, y, x, round(v, 6) AS v FROM image",
+    "raster_upscale": f"WITH {_CROP} SELECT zone, CAST(y * 2 + dy AS INT) AS y, CAST(x * 2 + dx AS INT) AS x, round(v, 6) AS v FROM image, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx)",
     "raster_clip_all": f"WITH {_CELLS} SELECT y, x, round(least(greatest(v, 0), max(v) OVER ()), 6) AS v FROM cell",
     "raster_upscale_all": f"WITH {_CELLS} SELECT CAST(y * 2 + dy AS INT) AS y, CAST(x * 2 + dx AS INT) AS x, round(v, 6) AS v FROM cell, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx)",
     "raster_burn": f"WITH {_CELLS}, {_BORDER}, mark AS (SELECT DISTINCT x, y FROM border) SELECT cell.y, cell.x, round(CASE WHEN mark.x IS NULL THEN v ELSE 2500 END, 6) AS v FROM cell LEFT JOIN mark USING (x, y)",
@@ -62,5 +88,8 @@ round(CAST(regexp_extract(s, 'LowerRightMtrs=\(([-\d.]+),([-\d.]+)\)', 1) AS DOU
     "zonal_histogram": f"WITH RECURSIVE {_VALUES}, {_histogram('zone')}",
     "window_histogram": f"WITH {_CELLS}, {_WINDOW}, val AS (SELECT v FROM win), {_histogram('')}",
     "zone_overlay": f"WITH {_PIXEL} SELECT n_name, seq, round(px, 6) AS px, round(py, 6) AS py FROM pixel JOIN nation ON n_nationkey = zone",
+    "catalog_tree": """WITH node(part, name, pos) AS (VALUES ('embeddings', 'vec_id', 1), ('embeddings', 'embedding', 2), ('embeddings', 'label', 3), ('nation', 'n_nationkey', 1), ('nation', 'n_name', 2), ('nation', 'n_regionkey', 3), ('region', 'r_regionkey', 1), ('region', 'r_name', 2)),
+part AS (SELECT part, 0 AS pos, '- ' || part AS line FROM node GROUP BY part UNION ALL SELECT part, pos, '  - ' || name FROM node)
+SELECT CAST(row_number() OVER (ORDER BY part, pos) - 1 AS INT) AS ord, line FROM part""",
     "catalog_names": "SELECT r_regionkey AS ord, r_name AS name FROM region",
 }

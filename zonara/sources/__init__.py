@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -17,6 +19,11 @@ ZONES = [
 def features(spark: SparkSession, path: str) -> DataFrame:
     """ord, name, kind, coordinates of a boundary file (one JSON document, UTF-8)."""
     doc = spark.read.schema(FEATURES).option("multiLine", True).option("encoding", "UTF-8").json(path)
+    return feature_rows(doc)
+
+
+def feature_rows(doc: DataFrame) -> DataFrame:
+    """ord, name, kind, coordinates of documents with a list of features."""
     return doc.select(F.posexplode("features").alias("ord", "f")).select("ord", F.col("f.properties.NOMGEO").alias("name"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"))
 
 
@@ -75,8 +82,9 @@ class GridReader(DataSourceReader):
         elif self.mode == "metadata":
             yield (grid[self.options["dataset"]][()].tobytes().decode("utf-8"),)
         else:
-            for y, row in enumerate(grid[self.options["dataset"]][part.lo : part.hi], part.lo):
-                yield y, [float(v) for v in row]
+            block = np.asarray(grid[self.options["dataset"]][part.lo : part.hi], "float64")
+            rows = pa.ListArray.from_arrays(np.arange(0, block.size + 1, block.shape[1], dtype="int32"), pa.array(block.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(part.lo, part.lo + len(block), dtype="int32")), rows], ["y", "row"])
 
 
 class Grid(DataSource):
@@ -93,6 +101,12 @@ class Grid(DataSource):
         return GridReader(dict(self.options))
 
 
+def grid(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Read a grid file; the source is registered with the session."""
+    spark.dataSource.register(Grid)
+    return spark.read.format("grid").options(path=path, **options).load()
+
+
 def listing(catalog: DataFrame) -> DataFrame:
     """The catalogue as indented lines, in order."""
     return catalog.select("ord", F.concat(F.repeat(F.lit(" "), 2 * F.col("depth")), F.lit("- "), "name").alias("line")).orderBy("ord")
