@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -111,11 +112,24 @@ def test_automaton_matching_statistics():
         assert got.get(at, 0) == max((n for n in range(1, 31) if n <= at + 1 and tuple(text[at - n + 1 : at + 1]) in parts), default=0)
 
 
+def test_token_lengths_of_odd_rows(spark, odd):
+    path = queries.vocabulary("byte_bpe_50k.tiktoken")
+    theirs = tiktoken.Encoding("t", pat_str=queries.pattern(), mergeable_ranks=bpe.ranks_of(open(path, "rb").read()), special_tokens={})
+    got = collections.Counter((r.doc_id, r.n_tokens) for r in token_counts.lengths(odd, path, queries.pattern()).collect())
+    assert got == collections.Counter((r[0], len(theirs.encode_ordinary(r[1] or ""))) for r in ROWS)
+
+
 def test_token_limits(spark, none):
     counts = [3, 3, 0, 5000, 1024, 7]
     hist = token_counts.histogram(spark.createDataFrame([(k, n) for k, n in enumerate(counts)], "doc_id long, n_tokens long"))
     for r in token_counts.limits(hist).collect():
         assert (r.n_fit, r.truncated_total, r.total_tokens) == (sum(n <= r.context_limit for n in counts), sum(min(n, r.context_limit) for n in counts), sum(counts))
+    for limit in (0, 2, 3, 4, 1023, 6000):
+        r = token_counts.at(hist, limit).head()
+        assert (r.n_fit, r.n_over, r.truncated_total, r.tokens_lost) == (sum(n <= limit for n in counts), sum(n > limit for n in counts), sum(min(n, limit) for n in counts), sum(max(0, n - limit) for n in counts))
+    for q in (0.1, 0.5, 0.9, 1.0):
+        assert token_counts.quantile(hist, q).head().length == np.quantile(counts, q, method="inverted_cdf")
+    assert token_counts.at(hist.limit(0), 5).head().truncated_total == 0 and token_counts.quantile(hist.limit(0), 0.5).head().length is None
     assert token_counts.lengths(none, queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern()).count() == 0
 
 
@@ -319,6 +333,17 @@ def test_search_against_brute_force(spark, odd, none, small):
     assert set(search.top_k(odd, odd, 3).toPandas().query_id.dropna()) == {1, 5, 7, 8} and search.top_k(none, none, 3).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    con.sql("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    want, got = con.sql(queries.ORACLE_SQL[name]).df(), queries.QUERIES[name](spark, SF).toPandas()
+    c = sorted(want.columns)
+    assert sorted(got.columns) == c and len(want) == len(got) > 0
+    got, want = (d[c].sort_values(c).reset_index(drop=True) for d in (got, want))
+    assert all(got[k].equals(want[k].astype(got[k].dtype)) for k in c)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 

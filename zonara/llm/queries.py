@@ -80,4 +80,12 @@ hit AS (
   GROUP BY ALL),
 ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank, doc_id, round(score, 6) AS score FROM hit)
 SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= {K}""",
+    "op10_jaccard_join": r"""
+WITH RECURSIVE word AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+member AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM word WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM member GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM member a JOIN member b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN size s ON s.doc_id = x JOIN size t ON t.doc_id = y WHERE 100 * c >= 85 * (s.n + t.n - c)),
+reached AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT link.y, reached.root FROM reached JOIN link ON link.x = reached.doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(root) AS component_id FROM reached LEFT JOIN size USING (doc_id) GROUP BY doc_id, n""",
 }

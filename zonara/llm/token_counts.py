@@ -6,8 +6,11 @@ the quantiles and what truncation leaves; between two lengths all of these are
 linear, so the rows answer every limit. The suffix sums run in two levels (within
 blocks of lengths, then over the blocks), so no task gets the whole histogram.
 
-Defined cases: a null text has length 0; an empty table gives no rows; repeated
-rows count as often as they stand there.
+`at` answers one limit, whether it occurs or not, and `quantile` one share.
+
+Defined cases: a null text has length 0; an empty table gives no rows (sums of 0 for `at`, a
+null for `quantile`); repeated rows count as often as they stand there; a text of any length is
+encoded whole; columns beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -64,3 +67,18 @@ def limits(hist: DataFrame) -> DataFrame:
         F.col("n_tokens").alias("context_limit"), "n_docs", "n_fit", over.alias("n_over"), "tokens_fit", kept.alias("truncated_total"), (F.col("total_tokens") - kept).alias("tokens_lost"), "total_tokens",
         share(F.col("n_fit"), F.col("all_docs")).alias("quantile"), share(F.col("tokens_fit"), F.col("total_tokens")).alias("token_quantile"),
     )
+
+
+def at(hist: DataFrame, limit: int) -> DataFrame:
+    """One row for any context limit: n_fit, n_over, tokens_fit, truncated_total and tokens_lost."""
+    fits = F.col("n_tokens") <= limit
+    total = lambda x, when: F.coalesce(F.sum(F.when(when, x)), F.lit(0))
+    tokens = F.col("n_tokens") * F.col("n_docs")
+    out = hist.agg(total(F.col("n_docs"), fits).alias("n_fit"), total(F.col("n_docs"), ~fits).alias("n_over"), total(tokens, fits).alias("tokens_fit"), total(tokens, ~fits).alias("over"))
+    cut = F.col("n_over") * limit
+    return out.select(F.lit(limit).alias("context_limit"), "n_fit", "n_over", "tokens_fit", (F.col("tokens_fit") + cut).alias("truncated_total"), (F.col("over") - cut).alias("tokens_lost"))
+
+
+def quantile(hist: DataFrame, share: float) -> DataFrame:
+    """One row: the least length that this share of all documents doesn't exceed."""
+    return limits(hist).filter(F.col("n_fit") >= F.lit(share) * (F.col("n_fit") + F.col("n_over"))).agg(F.min("context_limit").alias("length"))
