@@ -24,7 +24,7 @@ from zonara.llm.common import crc32_of_id, tidy
 
 PER_LANG, SPAN = 4000, 48
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 8, 3, 128, 0.02, 11
-ROW, CONTEXT, AT_ONCE = 224, 32, 1024
+ROW, CONTEXT, AT_ONCE = 448, 32, 2048
 LETTER = regex.compile(r"\p{L}")
 HELD_OUT = 5
 
@@ -188,13 +188,15 @@ def pooled(network: Network, texts: list[bytes], n_labels: int) -> np.ndarray:
     """The mean probability of each label over each text's bytes; texts are not empty."""
     x, begin, end, own = windows_of(texts)
     total = np.zeros((len(texts), n_labels))
-    for k in range(0, len(x), AT_ONCE):
-        a, z = begin[k : k + AT_ONCE], end[k : k + AT_ONCE]
-        at = np.arange(x.shape[1])[:, None]
-        mask = ((at >= a) & (at < z)).astype(np.float32)[:, :, None]
-        y = network.labels(np.ascontiguousarray(x[k : k + AT_ONCE].T), mask)
-        y *= mask
-        np.add.at(total, own[k : k + AT_ONCE], y[CONTEXT : CONTEXT + ROW].sum(axis=0))
+    whole, place = (begin == 0) & (end == x.shape[1]), np.arange(x.shape[1])[:, None]
+    for rows, masked in ((np.flatnonzero(whole), False), (np.flatnonzero(~whole), True)):
+        for k in range(0, len(rows), AT_ONCE):
+            own_rows = rows[k : k + AT_ONCE]
+            mask = ((place >= begin[own_rows]) & (place < end[own_rows])).astype(np.float32)[:, :, None] if masked else None
+            y = network.labels(np.ascontiguousarray(x[own_rows].T), mask)
+            if masked:
+                y *= mask
+            np.add.at(total, own[own_rows], y[CONTEXT : CONTEXT + ROW].sum(axis=0))
     return total / np.array([len(t) for t in texts])[:, None]
 
 
