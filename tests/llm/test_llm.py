@@ -239,6 +239,34 @@ def test_jaccard_components(spark, odd, none):
     assert jaccard_join.keep_one(odd).columns == odd.columns
 
 
+def test_blocks_lose_no_pair_that_fits(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(t), f"n{k}", int(rng.integers(0, max(1, n // 5))), int(n), [0] * 16, f"r{k % 50}") for k, (t, n) in enumerate(zip(rng.integers(0, 2, 400), rng.integers(1, 300, 400)))]
+    sides = spark.createDataFrame(rows, "token long, node string, pos int, n int, bits array<long>, root string")
+    fits = {
+        tuple(sorted((a[1], b[1]))) for a in rows for b in rows
+        if a[0] == b[0] and a[5] != b[5] and 100 * min(a[3], b[3]) >= 85 * max(a[3], b[3]) and min(a[3] - a[2], b[3] - b[2]) >= jaccard_join.need(a[3], b[3], 85)
+    }
+    got = [tuple(sorted((r.node, r.node_h))) for r in jaccard_join.block_pairs(sides, 85).collect()]
+    assert fits and len(got) == len(set(got)) and set(got) == fits
+    for r in sides.select("n", "pos", jaccard_join.reach(85).alias("to")).collect():
+        assert all((jaccard_join.need(r.n, m, 85) <= r.n - r.pos) == (m <= r.to) for m in range(r.n, 2 * r.n + 5))
+
+
+@pytest.mark.parametrize("rows", [0, 50_000])
+def test_texts_are_fetched_alike(spark, monkeypatch, small, rows):
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", rows)
+    docs = spark.createDataFrame(small[["doc_id", "text"]])
+    got = {r.doc_id: r.component_id for r in jaccard_join.clustered(docs, 5, 80).collect()}
+    sets = {i: set(jaccard_join.shingles(t, 5).tolist()) for i, t in zip(small.doc_id, small.text)}
+    root = {i: i for i in sets}
+    links = [(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    for _ in range(10):
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    assert got == root
+
+
 def test_language_held_out(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     both = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()

@@ -5,7 +5,9 @@ one node. Shingles are ordered from rare to common by a fixed-size frequency ske
 the whole corpus, which any order would do for right results; two sets that reach the
 threshold share a shingle among their rarest few, so only these go into the index.
 
-Skipping in the index: an index list is ordered by the shingle's position in its sets.
+Skipping in the index: an index list is cut into blocks by the sizes of its sets. The
+shingle's position in a set says how large a partner may be, so an entry meets only the
+blocks of its list up to that size, and a list with many entries is many join keys.
 A pair is looked at only if the positions, the sizes and the parity bitmaps of the two
 sets leave room for the overlap it needs (all three are exact bounds). An entry without
 any other set of a fitting size in its list is skipped before bitmaps are fetched.
@@ -39,6 +41,7 @@ from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, tidy
 BUCKETS, BLOCKS, FAN_IN = 1 << 21, 64, 64
 WORDS = 16  # 64-bit words of a parity bitmap
 BROADCAST_ROWS = 50_000
+SIZE_BLOCKS = 4  # blocks of an index list for each doubling of the sets' size
 SETS_KEPT = 32  # in a task, while pairs are verified
 SEEN = 100_000  # digests of texts that a task remembers
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -198,6 +201,26 @@ def alike(percent: int, x: str = "", y: str = "_h"):
     return c("n", x) + c("n", y) - apart >= 2 * least_overlap(percent, x, y)
 
 
+def reach(percent: int):
+    """The largest set that an entry's set can link to by this shingle: with a larger one, what stands from its position on is
+    less than the overlap it needs."""
+    return F.expr(f"(({100 + percent} * (n - pos)) div {percent}) - n")
+
+
+def size_block(n):
+    """Never falls as n grows, which is all that right results need."""
+    return F.floor(SIZE_BLOCKS * F.log2(n)).cast("int")
+
+
+def block_pairs(sides: DataFrame, percent: int) -> DataFrame:
+    """Pairs of entries of a list, columns of the larger set with suffix _h, from the blocks that the smaller set's entry
+    reaches; roots differ, and sizes, positions and bitmaps fit."""
+    low = sides.withColumn("_to", reach(percent)).filter("_to >= n").withColumn("_block", F.explode(F.sequence(size_block(F.col("n")), size_block(F.col("_to"))))).drop("_to")
+    high = sides.select("token", size_block(F.col("n")).alias("_block"), *(F.col(c).alias(f"{c}_h") for c in ("node", "pos", "n", "bits", "root")))
+    ordered = (F.col("n") < F.col("n_h")) | ((F.col("n") == F.col("n_h")) & (F.col("node") < F.col("node_h")))
+    return low.join(high, ["token", "_block"]).filter(ordered & (F.col("root") != F.col("root_h")) & fitting(percent) & alike(percent))
+
+
 def with_partners(lists: DataFrame, of: str, percent: int) -> DataFrame:
     """The entries whose list has a set of a fitting size under another value of `of`. Of a list in the order of sizes, the
     nearest such entry before or after decides; it stands where the run of equal values that holds the entry begins or ends."""
@@ -305,9 +328,7 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFram
     roots = components(links)
     sides = lists.drop("h").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sides = checkpointed(with_partners(sides, "root", percent).join(maps, "node").select("token", "node", "pos", "n", "bits", "root"))
-    other = sides.select("token", *(F.col(c).alias(f"{c}_h") for c in ("node", "pos", "n", "bits", "root")))
-    more = linked(sides.join(other, "token").filter((F.col("root") < F.col("root_h")) & fitting(percent) & alike(percent)))
-    return profiles.drop("bits"), links.union(more)
+    return profiles.drop("bits"), links.union(linked(block_pairs(sides, percent)))
 
 
 def clustered(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
