@@ -138,8 +138,8 @@ def tile(zero: tuple[np.ndarray, np.ndarray], posts: tuple, heavy: tuple, n_term
     return out
 
 
-def _unit(key: tuple, posts: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
-    """The partial distances of a task: a pair of blocks of one language's sources, and a part of its terms."""
+def unit(key: tuple, posts: pd.DataFrame, blocks: pd.DataFrame, size: int) -> pd.DataFrame:
+    """The partial distances of a task: a pair of blocks of `size` of one language's sources, and a part of its terms."""
     lang, i, j, part = key
     row = blocks.iloc[0]
     names, totals = zip(*([np.array([x[c] for x in side], kind) for c, kind in (("source", object), ("total", np.int64))] for side in (row.left_, row.right_)))
@@ -154,8 +154,8 @@ def _unit(key: tuple, posts: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame
         n, group, heavy = own.n.to_numpy(np.int64), own.number.to_numpy(np.int64), own.heavy.to_numpy(bool)
         sides, is_heavy = [], []
         for block, total in zip((i, j), totals):
-            at = group // GROUPS == block
-            g = group[at] % GROUPS
+            at = group // size == block
+            g = group[at] % size
             sides.append((term[at], g, shares(n[at], total[g])))
             is_heavy.append(heavy[at])
         out = out + tile(zero, tuple(sides), tuple(is_heavy), len(distinct))
@@ -163,12 +163,13 @@ def _unit(key: tuple, posts: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame
     return pd.DataFrame({"lang": lang, "a": names[0][a], "b": names[1][b], "value": out[a, b]})
 
 
-def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
+def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, size: int = GROUPS, of_terms: int = TERMS, heavy: int = HEAVY) -> DataFrame:
     """lang, source, part, item, value, rank: for each source of a language all others by distance (part pair), and the `top` terms
     that it uses more than its language does (part term).
 
     Terms that many sources have are summed in dense tiles, rare ones as corrections of posts; tasks hold a part of a language's terms
     for two blocks of its sources, and their partial sums are added. Distances come once for each pair and are then listed both ways.
+    size: sources of a block; of_terms: about how many terms a task holds; heavy: terms are dense from one source in so many on.
     """
     read = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")))
     kept = checkpointed(kept_terms(read, least_docs))
@@ -188,15 +189,15 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> Data
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     own = more.withColumnRenamed("term", "item").withColumn("rank", rank).filter(F.col("rank") <= top)
 
-    side = groups.groupBy("lang", F.expr(f"number div {GROUPS}").cast("int").alias("block"), "v").agg(F.sort_array(F.collect_list(F.struct("number", "source", "total"))).alias("side"))
-    last = F.expr(f"cast(v div {TERMS} as int)")
+    side = groups.groupBy("lang", F.expr(f"number div {size}").cast("int").alias("block"), "v").agg(F.sort_array(F.collect_list(F.struct("number", "source", "total"))).alias("side"))
+    last = F.expr(f"cast(v div {of_terms} as int)")
     units = side.withColumnsRenamed({"block": "i", "side": "left_"}).join(side.drop("v").withColumnsRenamed({"block": "j", "side": "right_"}), "lang").filter("i <= j")
     units = units.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
-    block, other = F.expr(f"number div {GROUPS}").cast("int"), F.col("other")
-    spread = posts.select("lang", "term", "n", "number", (F.col("spread") * HEAVY >= F.col("sources")).alias("heavy"), F.pmod(F.xxhash64("term"), last + 1).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.expr(f"(sources - 1) div {GROUPS}").cast("int"))).alias("other"))
+    block, other = F.expr(f"number div {size}").cast("int"), F.col("other")
+    spread = posts.select("lang", "term", "n", "number", (F.col("spread") * heavy >= F.col("sources")).alias("heavy"), F.pmod(F.xxhash64("term"), last + 1).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.expr(f"(sources - 1) div {size}").cast("int"))).alias("other"))
     spread = spread.select("lang", F.least(block, other).alias("i"), F.greatest(block, other).alias("j"), "part", "term", "n", "number", "heavy")
     keys = ["lang", "i", "j", "part"]
-    partial = spread.groupBy(*keys).cogroup(units.groupBy(*keys)).applyInPandas(_unit, "lang string, a string, b string, value long")
+    partial = spread.groupBy(*keys).cogroup(units.groupBy(*keys)).applyInPandas(lambda key, posts, blocks: unit(key, posts, blocks, size), "lang string, a string, b string, value long")
     pairs = partial.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     both = pairs.select("lang", F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item")))).alias("p"), "value").select("lang", "p.*", "value")
     far = both.withColumn("rank", rank)
