@@ -2,6 +2,7 @@ import base64
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
@@ -152,6 +153,24 @@ def test_bpe_as_tiktoken(spark, odd, small):
     assert base64.b64encode(own.tokens[0])
 
 
+def test_bpe_of_long_pieces_is_linear():
+    raw = open(queries.vocabulary("byte_bpe_multi_50k.tiktoken"), "rb").read()
+    ranks = bpe.ranks_of(raw)
+    own = bpe.Bpe(ranks, queries.pattern())
+    theirs = tiktoken.Encoding("t", pat_str=queries.pattern(), mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(3)
+    for letters in ("ab", "abcdefghijkl", "абвгдежз"):
+        text = "".join(rng.choice(list(letters), 400_000))
+        own.piece(text[:20_000])
+        took = []
+        for n in (100_000, 400_000):
+            start = time.process_time()
+            ids = own.piece(text[:n])
+            took.append(time.process_time() - start)
+        assert took[1] < 6 * took[0] + 0.2, (letters, took)
+        assert own.piece(text[:20_000]) == theirs.encode_ordinary(text[:20_000]) and b"".join(own.tokens[i] for i in ids) == text.encode()
+
+
 def test_packing_lays_every_id_once(spark, odd, none):
     path = queries.vocabulary("word_bpe_49k.json")
     rows = packing.pack(odd, path).toPandas()

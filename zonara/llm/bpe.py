@@ -60,6 +60,7 @@ class Bpe:
         for b, i in reached:
             self.longest.add_word(b.decode("latin-1"), i)
         self.longest.make_automaton()
+        self.most = max(len(b) for b, _ in reached)
         known = {b: i for b, i in reached}
         self.shorter = {i: next((known[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in known), -1) for b, i in reached}
         self.of_piece = Memo(lambda pieces: [self.coded([p]) for p in pieces], CACHE)
@@ -123,7 +124,7 @@ class Bpe:
         data = piece.encode("utf-8", "surrogatepass")
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
-        n, text, size, shorter, fits = len(data), data.decode("latin-1"), self.size, self.shorter, self.fits
+        n, text, most, size, shorter, fits = len(data), data.decode("latin-1"), self.most, self.size, self.shorter, self.fits
         longest, at = {}, 0
         for _, token in self.longest.iter_long(text):
             longest[at] = token
@@ -147,7 +148,7 @@ class Bpe:
                 if at == n:
                     return out
                 if (token := longest.get(at)) is None:
-                    token = longest[at] = next(self.longest.iter_long(text, at))[1]
+                    token = longest[at] = next(self.longest.iter_long(text[at : at + most]))[1]  # each byte is a token, so the first starts here
 
     def coded(self, pieces: Iterable[str]) -> Coded:
         ids = [i for p in pieces for i in self.piece(p)]
