@@ -141,6 +141,93 @@ def test_crop_of_a_zone_by_numpy(spark):
         raster.crop_zones(packed, geometry.crop_bounds(pixels.withColumn("px", F.col("px") - 3))).collect()
 
 
+def test_clip_of_nulls_and_burn_keeps_columns(spark):
+    df = spark.createDataFrame([(0, 0, 1.0, "t"), (0, 1, None, "t"), (0, 2, -3.0, "t")], "y int, x int, v double, tile string")
+    assert {r.x: r.v for r in raster.clip(df).collect()} == {0: 1.0, 1: None, 2: 0.0}
+    assert {r.x: r.v for r in raster.clip(df.withColumn("zone", F.lit(1)), "zone").collect()} == {0: 1.0, 1: None, 2: 0.0}
+    burnt = raster.burn(df, spark.createDataFrame([(1, 0)], "x int, y int"))
+    assert burnt.columns == df.columns and {(r.x, r.v, r.tile) for r in burnt.collect()} == {(0, 1.0, "t"), (1, 2500.0, "t"), (2, -3.0, "t")}
+
+
+def lines(spark, image):
+    return spark.createDataFrame([(y, r.tolist()) for y, r in enumerate(image)], "y long, row array<double>")
+
+
+def test_a_zone_past_the_far_edge_is_an_error(spark):
+    packed = lines(spark, np.ones((6, 5)))
+    at = lambda x, y: spark.createDataFrame([("in", k, 1.5 + k, 1.5 + k) for k in range(2)] + [("out", k, x + k, y + k) for k in range(2)], "zone string, seq int, px double, py double")
+    for x, y in ((40.0, 2.0), (2.0, 40.0), (6.5, 2.0)):
+        for part in raster.crop_images(packed, at(1.5, 1.5))[0:3]:
+            assert part.filter("zone = 'out'").count()
+        with pytest.raises(Exception, match="past the raster: zone out"):
+            [part.collect() for part in raster.crop_images(packed, at(x, y))]
+
+
+def test_shape_of_a_raster(spark):
+    assert tuple(raster.shape(lines(spark, np.ones((6, 5)))).head()) == (6, 5)
+    assert tuple(raster.shape(lines(spark, np.ones((6, 5))).limit(0)).head()) == (None, None)
+
+
+def test_window_reaches_the_scan(spark, tmp_path):
+    image = np.random.default_rng(5).normal(size=(40, 9))
+    lines(spark, image).withColumn("t", F.lit("a")).write.parquet(str(tmp_path / "r"))
+    stored = sources.raster_parquet(spark, str(tmp_path / "r"), "y", "row")
+    got = raster.window(stored, 10, 50, 3, 7)
+    plan = got._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(y,10)" in plan and "LessThan(y,50)" in plan
+    assert {(r.y, r.x): r.v for r in got.collect()} == {(y, x): image[y, x] for y in range(10, 40) for x in range(3, 7)}
+    assert raster.window(spark.read.parquet(str(tmp_path / "r")), 0, 1, 0, 1, "t").head().t == "a"
+    assert raster.window(stored, 0, 5, 20, 30).count() == raster.window(stored, 5, 5, 0, 3).count() == raster.window(stored, 0, 5, 3, 3).count() == 0
+    with pytest.raises(ValueError):
+        raster.window(stored, -1, 5, 0, 3)
+
+
+def test_tiles_by_brute_force(spark):
+    rng = np.random.default_rng(6)
+    boxes = [(f"t{k}", float(x), float(y), x + 10.0, y - 10.0, 20, 40) for k, (x, y) in enumerate((a, b) for a in range(-30, 10, 10) for b in range(-10, 30, 10))] + [("overlap", -27.0, 7.0, -17.0, -3.0, 5, 8)]
+    vertices = [(int(k % 3), k, float(x), float(y)) for k, (x, y) in enumerate(zip(rng.uniform(-30, 10, 300), rng.uniform(-19.9, 20, 300)))] + [(9, 0, -20.0, 10.0), (9, 1, -30.0, 20.0)]
+    tiles = spark.createDataFrame(boxes, "tile string, ul_x double, ul_y double, lr_x double, lr_y double, height int, width int")
+    df = spark.createDataFrame(vertices, "zone int, seq int, x double, y double")
+    want = sorted((z, s, t, (x - ux) / (10.0 / w), (uy - y) / (10.0 / h)) for z, s, x, y in vertices for t, ux, uy, lx, ly, h, w in boxes if ux <= x < lx and ly < y <= uy)
+    got = geometry.to_tile_pixels(df, tiles)
+    assert sorted(map(tuple, got.collect())) == want and len({t for z, _, t, *_ in want if z == 0}) > 5
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    for bad in ((4, 0, 50.0, 0.0), (4, 0, None, 0.0)):
+        with pytest.raises(Exception, match="no tile: zone 4"):
+            geometry.to_tile_pixels(df.union(spark.createDataFrame([bad], df.schema)), tiles).collect()
+    assert geometry.to_tile_pixels(df.limit(0), tiles).count() == 0
+
+
+@pytest.mark.parametrize("factor", [1, 2, 3])
+def test_weights_stand_for_upscaled_pixels(spark, factor):
+    image = np.random.default_rng(8).normal(size=(30, 25)).round(1)
+    ring = [(3.5, 4.2), (12.1, 3.1), (17.3, 14.4), (9.2, 21.7), (3.5, 4.2)]
+    pixels = spark.createDataFrame([("z", k, x, y) for k, (x, y) in enumerate(ring)] + [("w", k, x + 2.25, y + 1.5) for k, (x, y) in enumerate(ring)], "zone string, seq int, px double, py double")
+    windows, local, sizes = raster.crop_images(lines(spark, image), pixels, factor)
+    edge = geometry.densify(local)
+    seeds = geometry.centroid(edge).join(sizes, "zone").select("zone", F.col("cx").cast("int").alias("x"), F.col("cy").cast("int").alias("y"), "width", "height")
+    weighted = stats.gather_weighted(fill.flood_fill(edge, seeds, factor), windows)
+    each = stats.gather_upscaled(fill.flood_fill(edge, seeds), windows, factor)
+    assert weighted.agg(F.sum("weight")).head()[0] == each.count() and weighted.count() <= each.count() // max(1, factor * factor // 2)
+    for a, b in zip(*(df.orderBy("zone").collect() for df in (stats.summary(weighted, "zone", weight="weight"), stats.summary(each, "zone")))):
+        assert a.zone == b.zone and a.n == b.n and np.allclose(a[2:], b[2:], rtol=1e-12)
+    bins = lambda df: sorted(map(tuple, df.collect()))
+    assert bins(stats.binned(weighted.select("zone", "v", "weight"), "zone")) == bins(stats.histogram(each, "zone"))
+
+
+def test_weights_of_nothing_and_of_nulls(spark):
+    df = spark.createDataFrame([(1.0, 2), (None, 5), (4.0, 1), (9.0, 0)], "v double, w int")
+    got = stats.summary(df, weight="w").head()
+    assert (got.n, got["mean"], got.max, got.p50) == (3, 2.0, 4.0, 1.0) and np.isclose(got.std, np.std([1, 1, 4]))
+    assert stats.summary(df.limit(0), weight="w").head().n in (0, None)
+
+
+def test_one_fill_makes_the_histogram(spark):
+    plan = QUERIES["zonal_histogram"](spark, SF)._jdf.queryExecution().toString()
+    assert "CoGroup" not in plan and plan.count("ExistingRDD") + plan.count("LogicalRDD")  # values were written by one run before
+
+
 def test_fill_by_breadth_first_search():
     rng = np.random.default_rng(4)
     for _ in range(50):
@@ -156,21 +243,44 @@ def test_fill_by_breadth_first_search():
         assert fill.filled(w, h, seed, walls) == sorted(seen)
 
 
-def test_grid_source_by_its_format(spark, tmp_path):
-    # a stand-in for the module that reads grid files
-    (tmp_path / "h5py.py").write_text("""
+def stand_in(folder):
+    """A stand-in for the module that reads grid files."""
+    (folder / "h5py.py").write_text("""
 import numpy as np
 def File(path, mode):
     d, t = np.arange(10.0).reshape(5, 2), np.array(b"UpperLeftPointMtrs=(1,2)")
-    return {"G": {"d": d}, "t": t, "G/d": d}
+    return {"d": np.arange(100.0).reshape(50, 2)} if path == "p2" else {"G": {"d": d}, "t": t, "G/d": d}
 """)
-    spark.sparkContext.addPyFile(str(tmp_path / "h5py.py"))
+    return str(folder / "h5py.py")
+
+
+def test_grid_source_by_its_format(spark, tmp_path):
+    spark.sparkContext.addPyFile(stand_in(tmp_path))
     rows = sources.grid(spark, "p", dataset="G/d", lines="2")
     assert rows.rdd.getNumPartitions() == 3 and [tuple(r) for r in rows.orderBy("y").collect()] == [(y, [2.0 * y, 2.0 * y + 1]) for y in range(5)]
     assert sources.grid(spark, "p", dataset="t", mode="metadata").head().text == "UpperLeftPointMtrs=(1,2)"
     assert [r.line for r in sources.listing(sources.grid(spark, "p", mode="catalog")).collect()] == ["- G", "  - d", "- t", "- G/d"]
 
 
+def test_bounds_of_y_skip_lines_of_a_grid(spark, tmp_path):
+    flat = {"d": np.arange(100.0).reshape(50, 2)}
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, IsNotNull, LessThan, Not
+
+    def read(*filters):
+        r = sources.GridReader({"path": "p", "dataset": "d", "lines": "8"}, lambda p: flat)
+        rest = list(r.pushFilters(list(filters)))
+        return rest, [(p.lo, p.hi) for p in r.partitions()], [y for p in r.partitions() for b in r.read(p) for y in b.column("y").to_pylist()]
+
+    other = Not(EqualTo(("y",), 12))
+    assert read(GreaterThanOrEqual(("y",), 10), LessThan(("y",), 21), IsNotNull(("y",)), other) == ([other], [(10, 18), (18, 21)], list(range(10, 21)))
+    assert read(EqualTo(("y",), 49), LessThan(("row",), 3))[0:2] == ([LessThan(("row",), 3)], [(49, 50)])
+    assert read(GreaterThanOrEqual(("y",), 60)) == ([], [(0, 0)], []) and len(read()[1]) == 7
+    spark.sparkContext.addPyFile(stand_in(tmp_path))
+    rows = sources.grid(spark, "p2", dataset="d", lines="8")
+    got = raster.window(rows, 10, 21, 1, 2)
+    assert [(r.y, r.x, r.v) for r in got.orderBy("y").collect()] == [(y, 1, 2.0 * y + 1) for y in range(10, 21)] and got.rdd.getNumPartitions() == 2
+
+
 def test_grid_source_over_a_stub():
     class Data(np.ndarray):
         pass

@@ -30,6 +30,21 @@ def to_pixel(vertices: DataFrame, ul_x: float, ul_y: float, height: int, width:
     return vertices.withColumns({"px": (F.col("x") - F.lit(ul_x)) / F.lit(span_deg / width), "py": (F.lit(ul_y) - F.col("y")) / F.lit(span_deg / height)})
 
 
+def to_tile_pixels(vertices: DataFrame, tiles: DataFrame, span_deg: float = SPAN_DEG) -> DataFrame:
+    """zone, seq, tile, px, py: each vertex (zone, seq, x, y) in the pixels of the tile that it lies on; a zone may span tiles.
+    tiles: tile, ul_x, ul_y, lr_x, lr_y, height, width. The left and upper edges belong to a tile; where tiles overlap a vertex has a
+    row for each, and a vertex on no tile, or a null coordinate, is an error. Both sides meet in cells of span_deg degrees, so a
+    vertex is held against the few tiles of its cell only; a cell that has many vertices is split by adaptive execution."""
+    cell = lambda c: F.floor(F.col(c) / F.lit(span_deg)).cast("int")
+    spread = tiles.select("*", F.explode(F.sequence(cell("ul_x"), cell("lr_x"))).alias("cx")).select("*", F.explode(F.sequence(cell("lr_y"), cell("ul_y"))).alias("cy"))
+    at = vertices.select("zone", "seq", "x", "y", cell("x").alias("cx"), cell("y").alias("cy"))
+    inside = (F.col("x") >= F.col("ul_x")) & (F.col("x") < F.col("lr_x")) & (F.col("y") > F.col("lr_y")) & (F.col("y") <= F.col("ul_y"))
+    met = at.join(spread, (at.cx == spread.cx) & (at.cy == spread.cy) & inside, "left")
+    tile = F.when(F.col("ul_x").isNull(), F.raise_error(F.concat(F.lit("a vertex lies on no tile: zone "), F.col("zone").cast("string"))).cast(dict(tiles.dtypes)["tile"])).otherwise(F.col("tile"))
+    px, py = (F.col("x") - F.col("ul_x")) / (F.lit(span_deg) / F.col("width")), (F.col("ul_y") - F.col("y")) / (F.lit(span_deg) / F.col("height"))
+    return met.select("zone", "seq", tile.alias("tile"), px.alias("px"), py.alias("py"))
+
+
 def crop_bounds(pixels: DataFrame) -> DataFrame:
     """xlo, xhi, ylo, yhi of each zone: ceil(min) - 1 and ceil(max) + 1."""
     edge = lambda f, c, d: (F.ceil(f(c)) + d).cast("int")

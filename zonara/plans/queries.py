@@ -35,22 +35,29 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.to_pixel(world(spark, sf_dir), UL_X, UL_Y, HEIGHT, WIDTH)
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.raster_parquet(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding")
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.raster_parquet(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding").withColumn("y", F.col("y").cast("int"))
+    return stored(spark, sf_dir).withColumn("y", F.col("y").cast("int"))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raster.explode_rows(sources.raster_parquet(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding"))
+    return raster.explode_rows(stored(spark, sf_dir))
 
 
 def border(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.densify(rings(spark, sf_dir))
 
 
+def zone_seeds(edge: DataFrame) -> DataFrame:
+    return geometry.centroid(edge).select("zone", F.col("cx").cast("int").alias("x"), F.col("cy").cast("int").alias("y"), F.lit(WIDTH).alias("width"), F.lit(HEIGHT).alias("height"))
+
+
 def zone_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge = border(spark, sf_dir)
-    seeds = geometry.centroid(edge).select("zone", F.col("cx").cast("int").alias("x"), F.col("cy").cast("int").alias("y"), F.lit(WIDTH).alias("width"), F.lit(HEIGHT).alias("height"))
-    return fill.flood_fill(edge, seeds)
+    return fill.flood_fill(edge, zone_seeds(edge))
 
 
 def zone_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,11 +65,34 @@ def zone_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upscaled_values(spark: SparkSession, sf_dir: str, factor: int = 2) -> DataFrame:
-    """The whole chain for every zone: crop, upscale, clip, local coordinates, border, centroid, fill, values."""
+    """The whole chain for every zone: crop, clip, local coordinates of the upscaled window, border, centroid, fill, values. A value
+    comes once with the number of upscaled pixels (weight) that it stands for."""
     windows, ring, sizes = raster.crop_images(packed(spark, sf_dir), pixels(spark, sf_dir), factor)
     edge = geometry.densify(ring)
     seeds = geometry.centroid(edge).join(sizes, "zone").select("zone", F.col("cx").cast("int").alias("x"), F.col("cy").cast("int").alias("y"), "width", "height")
-    return stats.gather_upscaled(fill.flood_fill(edge, seeds), windows, factor)
+    return stats.gather_weighted(fill.flood_fill(edge, seeds, factor), windows)
+
+
+def tile_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlines that span tiles of ten degrees."""
+    points = F.array(*(F.struct(F.lit(float(x)).alias("dx"), F.lit(float(y)).alias("dy")) for x, y in RING))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("zone"), F.posexplode(points).alias("seq", "p"))
+    return nation.select("zone", "seq", (F.lit(-112.0) + F.lit(1.4) * F.col("zone") + F.lit(0.8) * F.col("p.dx")).alias("x"), (F.lit(32.0) - F.lit(1.3) * F.col("zone") + F.lit(0.8) * F.col("p.dy")).alias("y"))
+
+
+def tile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster's lines dealt out to 25 tiles."""
+    lines = table(spark, sf_dir, "embeddings")
+    return lines.select((F.col("vec_id") % 25).cast("int").alias("tile"), F.expr("vec_id div 25").alias("y"), F.col("embedding").alias("row"))
+
+
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tile, its corners as read from its metadata text, height, width."""
+    column, line = F.col("n_nationkey") % 5, F.expr("n_nationkey div 5")
+    at = lambda x, y: F.concat((F.lit(-120) + 10 * (column + x)) * 1000000, F.lit(".0,"), (F.lit(40) - 10 * (line + y)) * 1000000, F.lit(".0)"))
+    text = F.concat(F.lit("GridName=\"g\" UpperLeftPointMtrs=("), at(0, 0), F.lit(" LowerRightMtrs=("), at(1, 1))
+    heights = tile_lines(spark, sf_dir).groupBy("tile").agg((F.max("y") + 1).cast("int").alias("height"))
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("tile"), *(c.alias(n) for n, c in geometry.georef(text).items())).join(heights, "tile").withColumn("width", F.lit(WIDTH))
 
 
 def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +114,7 @@ def raster_cells(spark, sf_dir):
 
 
 def raster_crop(spark, sf_dir):
-    return rounded(raster.crop(cells(spark, sf_dir), 0, 250, 0, 255))
+    return rounded(raster.window(stored(spark, sf_dir), 0, 250, 0, 255))
 
 
 def raster_clip(spark, sf_dir):
@@ -153,11 +183,11 @@ def zonal_histogram(spark, sf_dir):
 
 
 def zonal_stats_upscaled(spark, sf_dir):
-    return rounded(stats.summary(upscaled_values(spark, sf_dir), "zone"))
+    return rounded(stats.summary(upscaled_values(spark, sf_dir), "zone", weight="weight"))
 
 
 def zonal_histogram_upscaled(spark, sf_dir):
-    return rounded(stats.histogram(upscaled_values(spark, sf_dir), "zone"))
+    return rounded(stats.binned(upscaled_values(spark, sf_dir).select("zone", "v", "weight"), "zone"))
 
 
 def zone_window_histogram(spark, sf_dir):
@@ -177,7 +207,7 @@ def raster_preview(spark, sf_dir):
 
 
 def window_histogram(spark, sf_dir):
-    return rounded(stats.histogram(raster.crop(cells(spark, sf_dir), 10, 40, 5, 50)))
+    return rounded(stats.histogram(raster.window(stored(spark, sf_dir), 10, 40, 5, 50)))
 
 
 def zone_overlay(spark, sf_dir):
@@ -185,6 +215,22 @@ def zone_overlay(spark, sf_dir):
     return rounded(pixels(spark, sf_dir).join(names, "zone").select("n_name", "seq", "px", "py"))
 
 
+def flood_fill_runs(spark, sf_dir):
+    edge = border(spark, sf_dir)
+    return fill.flood_fill_runs(edge, zone_seeds(edge))
+
+
+def tile_pixels(spark, sf_dir):
+    return rounded(geometry.to_tile_pixels(tile_rings(spark, sf_dir), tiles(spark, sf_dir)))
+
+
+def tile_overlay(spark, sf_dir):
+    """Every tile's window as an image, and the outlines over it in the tile's pixels."""
+    image = raster.window(tile_lines(spark, sf_dir), 0, 250, 0, 255, "tile").select(F.lit("image").alias("layer"), "tile", F.lit(None).cast("int").alias("zone"), F.lit(None).cast("int").alias("seq"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "v")
+    outline = geometry.to_tile_pixels(tile_rings(spark, sf_dir), tiles(spark, sf_dir)).select(F.lit("outline").alias("layer"), "tile", "zone", "seq", F.col("px").alias("x"), F.col("py").alias("y"), F.lit(None).cast("double").alias("v"))
+    return rounded(image.unionByName(outline))
+
+
 def catalog_names(spark, sf_dir):
     geometry_ = F.struct(F.lit("Polygon").alias("type"), F.array().cast("array<array<array<double>>>").alias("coordinates"))
     region = table(spark, sf_dir, "region").select(F.struct(F.col("r_regionkey").alias("at"), F.struct(F.col("r_name").alias("NOMGEO")).alias("properties"), geometry_.alias("geometry")).alias("f"))
@@ -197,4 +243,4 @@ def catalog_tree(spark, sf_dir):
     return sources.listing(spark.createDataFrame([(k, *row) for k, row in enumerate(sources.tree(nested))], "ord int, depth int, name string, is_group boolean"))
 
 
-QUERIES = {f.__name__: f for f in (zonal_stats, zonal_stats_upscaled, zonal_histogram_upscaled, zone_window_histogram, zone_outline_local, raster_shape, raster_preview, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree)}
+QUERIES = {f.__name__: f for f in (zonal_stats, zonal_stats_upscaled, zonal_histogram_upscaled, zone_window_histogram, zone_outline_local, raster_shape, raster_preview, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree, flood_fill_runs, tile_pixels, tile_overlay)}

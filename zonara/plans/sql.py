@@ -1,5 +1,7 @@
 """The same queries for DuckDB."""
 
+from zonara.operators.geometry import CORNERS
+
 _CELLS = "cell AS (SELECT CAST(vec_id AS INT) AS y, CAST(unnest(range(len(embedding))) AS INT) AS x, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"
 _RING = """ring AS (SELECT n_nationkey AS zone, seq, CAST(32.0 + dx AS DOUBLE) AS x, CAST(10.0 + 20 * n_nationkey + dy AS DOUBLE) AS y
   FROM nation, (VALUES (0, -8, 1), (1, -3, -7), (2, 4, -8), (3, 9, -2), (4, 6, 6), (5, -2, 8), (6, -8, 1)) o(seq, dx, dy))"""
@@ -58,6 +60,17 @@ FROM (SELECT edge.*, CAST(r.bin AS INT) AS bin FROM edge, range(50) r(bin)) LEFT
 _SUMMARY = """SELECT zone, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(max(v), 6) AS max, round(min(v), 6) AS min,
 round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75 FROM val GROUP BY zone"""
 
+# The corner patterns are those of the geometry operators.
+_CORNER = f"corner AS (SELECT {{key}}, regexp_extract(s, '{CORNERS['ul']}', ['x', 'y']) AS ul, regexp_extract(s, '{CORNERS['lr']}', ['x', 'y']) AS lr FROM {{table}})"
+_TILES = f"""meta AS (SELECT n_nationkey AS tile, 'GridName="g" UpperLeftPointMtrs=(' || ((-120 + 10 * (n_nationkey % 5)) * 1000000) || '.0,' || ((40 - 10 * (n_nationkey // 5)) * 1000000) || '.0) LowerRightMtrs=('
+  || ((-120 + 10 * (n_nationkey % 5 + 1)) * 1000000) || '.0,' || ((40 - 10 * (n_nationkey // 5 + 1)) * 1000000) || '.0)' AS s FROM nation),
+{_CORNER.format(key="tile", table="meta")},
+line AS (SELECT CAST(vec_id % 25 AS INT) AS tile, vec_id // 25 AS y, embedding FROM embeddings),
+box AS (SELECT tile, CAST(ul.x AS DOUBLE) / 1000000 AS ul_x, CAST(ul.y AS DOUBLE) / 1000000 AS ul_y, CAST(lr.x AS DOUBLE) / 1000000 AS lr_x, CAST(lr.y AS DOUBLE) / 1000000 AS lr_y, height FROM corner JOIN (SELECT tile, max(y) + 1 AS height FROM line GROUP BY tile) USING (tile)),
+wide AS (SELECT n_nationkey AS zone, seq, -112.0::DOUBLE + 1.4::DOUBLE * n_nationkey + 0.8::DOUBLE * dx AS x, 32.0::DOUBLE - 1.3::DOUBLE * n_nationkey + 0.8::DOUBLE * dy AS y
+  FROM nation, (VALUES (0, -8, 1), (1, -3, -7), (2, 4, -8), (3, 9, -2), (4, 6, 6), (5, -2, 8), (6, -8, 1)) o(seq, dx, dy)),
+placed AS (SELECT zone, seq, tile, round((x - ul_x) / (10.0::DOUBLE / 64), 6) AS px, round((ul_y - y) / (10.0::DOUBLE / height), 6) AS py FROM wide JOIN box ON x >= ul_x AND x < lr_x AND y > lr_y AND y <= ul_y)"""
+
 SQL = {
     "zonal_stats": f"WITH RECURSIVE {_VALUES} {_SUMMARY}",
     "zonal_stats_upscaled": f"WITH RECURSIVE {_UPSCALED} {_SUMMARY}",
@@ -75,9 +88,8 @@ SQL = {
     "raster_clip_all": f"WITH {_CELLS} SELECT y, x, round(least(greatest(v, 0), max(v) OVER ()), 6) AS v FROM cell",
     "raster_upscale_all": f"WITH {_CELLS} SELECT CAST(y * 2 + dy AS INT) AS y, CAST(x * 2 + dx AS INT) AS x, round(v, 6) AS v FROM cell, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx)",
     "raster_burn": f"WITH {_CELLS}, {_BORDER}, mark AS (SELECT DISTINCT x, y FROM border) SELECT cell.y, cell.x, round(CASE WHEN mark.x IS NULL THEN v ELSE 2500 END, 6) AS v FROM cell LEFT JOIN mark USING (x, y)",
-    "georef_parse": r"""WITH t AS (SELECT n_nationkey, 'GridName="g" UpperLeftPointMtrs=(-' || (100000000 + n_nationkey * 1000000) || '.5,' || (30000000 - n_nationkey) || ') LowerRightMtrs=(' || (n_nationkey * 250000) || ',-' || (n_nationkey * 125000) || '.25)' AS s FROM nation)
-SELECT n_nationkey, round(CAST(regexp_extract(s, 'UpperLeftPointMtrs=\(([-\d.]+),([-\d.]+)\)', 1) AS DOUBLE) / 1000000, 6) AS ul_x, round(CAST(regexp_extract(s, 'UpperLeftPointMtrs=\(([-\d.]+),([-\d.]+)\)', 2) AS DOUBLE) / 1000000, 6) AS ul_y,
-round(CAST(regexp_extract(s, 'LowerRightMtrs=\(([-\d.]+),([-\d.]+)\)', 1) AS DOUBLE) / 1000000, 6) AS lr_x, round(CAST(regexp_extract(s, 'LowerRightMtrs=\(([-\d.]+),([-\d.]+)\)', 2) AS DOUBLE) / 1000000, 6) AS lr_y FROM t""",
+    "georef_parse": f"""WITH t AS (SELECT n_nationkey, 'GridName="g" UpperLeftPointMtrs=(-' || (100000000 + n_nationkey * 1000000) || '.5,' || (30000000 - n_nationkey) || ') LowerRightMtrs=(' || (n_nationkey * 250000) || ',-' || (n_nationkey * 125000) || '.25)' AS s FROM nation),
+{_CORNER.format(key="n_nationkey", table="t")} SELECT n_nationkey, {", ".join(f"round(CAST({c}.{axis} AS DOUBLE) / 1000000, 6) AS {c}_{axis}" for c in ("ul", "lr") for axis in "xy")} FROM corner""",
     "feature_lookup": "SELECT k, min(event_id) AS event_id, round(arg_min(value, event_id), 6) AS value FROM (SELECT CAST(json_extract_string(props, '$.k') AS INT) AS k, event_id, value FROM events) WHERE k BETWEEN 0 AND 15 GROUP BY k",
     "world_to_pixel": f"WITH {_PIXEL} SELECT zone, seq, round(px, 6) AS px, round(py, 6) AS py FROM pixel",
     "crop_bounds": f"WITH {_RING} SELECT zone, CAST(ceil(min(x)) - 1 AS INT) AS xlo, CAST(ceil(max(x)) + 1 AS INT) AS xhi, CAST(ceil(min(y)) - 1 AS INT) AS ylo, CAST(ceil(max(y)) + 1 AS INT) AS yhi FROM ring GROUP BY zone",
@@ -91,5 +103,9 @@ round(CAST(regexp_extract(s, 'LowerRightMtrs=\(([-\d.]+),([-\d.]+)\)', 1) AS DOU
     "catalog_tree": """WITH node(part, name, pos) AS (VALUES ('embeddings', 'vec_id', 1), ('embeddings', 'embedding', 2), ('embeddings', 'label', 3), ('nation', 'n_nationkey', 1), ('nation', 'n_name', 2), ('nation', 'n_regionkey', 3), ('region', 'r_regionkey', 1), ('region', 'r_name', 2)),
 part AS (SELECT part, 0 AS pos, '- ' || part AS line FROM node GROUP BY part UNION ALL SELECT part, pos, '  - ' || name FROM node)
 SELECT CAST(row_number() OVER (ORDER BY part, pos) - 1 AS INT) AS ord, line FROM part""",
+    "flood_fill_runs": f"WITH RECURSIVE {_FILL} SELECT zone, x, y FROM fill",
+    "tile_pixels": f"WITH {_TILES} SELECT zone, seq, tile, px, py FROM placed",
+    "tile_overlay": f"""WITH {_TILES} SELECT 'image' AS layer, tile, CAST(NULL AS INT) AS zone, CAST(NULL AS INT) AS seq, CAST(unnest(range(least(len(embedding), 255))) AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, round(CAST(unnest(embedding[1:255]) AS DOUBLE), 6) AS v FROM line WHERE y < 250
+UNION ALL SELECT 'outline', tile, zone, seq, px, py, NULL FROM placed""",
     "catalog_names": "SELECT r_regionkey AS ord, r_name AS name FROM region",
 }

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 
 FEATURES = "features array<struct<properties:struct<NOMGEO:string>, geometry:struct<type:string, coordinates:array<array<array<double>>>>>>"
 # The sixteen zones, in order.
@@ -64,16 +64,35 @@ class Lines(InputPartition):
         self.lo, self.hi = lo, hi
 
 
+#: The lines from, and up to, which a filter on y leaves.
+LINES = {
+    EqualTo: lambda v: (v, v + 1), GreaterThan: lambda v: (v + 1, None), GreaterThanOrEqual: lambda v: (v, None), LessThan: lambda v: (0, v), LessThanOrEqual: lambda v: (0, v + 1), IsNotNull: lambda v: (0, None),
+}
+
+
 class GridReader(DataSourceReader):
     def __init__(self, options: dict, opened=open_grid):
         self.options, self.opened = options, opened
         self.mode, self.block = options.get("mode", "rows"), int(options.get("lines", 256))
+        self.lo, self.hi = 0, None
+
+    def pushFilters(self, filters):
+        """Bounds of y choose the lines to read; other filters go back to Spark."""
+        for f in filters:
+            if self.mode != "rows" or type(f) not in LINES or f.attribute != ("y",):
+                yield f
+                continue
+            low, high = LINES[type(f)](getattr(f, "value", None))
+            self.lo = max(self.lo, low)
+            if high is not None:
+                self.hi = high if self.hi is None else min(self.hi, high)
 
     def partitions(self):
         if self.mode != "rows":
             return [Lines(0, 0)]
         n = self.opened(self.options["path"])[self.options["dataset"]].shape[0]
-        return [Lines(a, min(n, a + self.block)) for a in range(0, n, self.block)]
+        end = n if self.hi is None else min(n, self.hi)
+        return [Lines(a, min(end, a + self.block)) for a in range(self.lo, end, self.block)] or [Lines(0, 0)]
 
     def read(self, part):
         grid = self.opened(self.options["path"])
@@ -81,7 +100,7 @@ class GridReader(DataSourceReader):
             yield from ((k, *row) for k, row in enumerate(tree(grid)))
         elif self.mode == "metadata":
             yield (grid[self.options["dataset"]][()].tobytes().decode("utf-8"),)
-        else:
+        elif part.lo < part.hi:
             block = np.asarray(grid[self.options["dataset"]][part.lo : part.hi], "float64")
             rows = pa.ListArray.from_arrays(np.arange(0, block.size + 1, block.shape[1], dtype="int32"), pa.array(block.ravel()))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(part.lo, part.lo + len(block), dtype="int32")), rows], ["y", "row"])
@@ -102,7 +121,8 @@ class Grid(DataSource):
 
 
 def grid(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Read a grid file; the source is registered with the session."""
+    """Read a grid file; the source is registered with the session, and filters on y skip lines."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Grid)
     return spark.read.format("grid").options(path=path, **options).load()
 
