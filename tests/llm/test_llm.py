@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from zonara.llm import bpe, jaccard_join, language_id, licences, packing, pii, quality, queries, search, token_counts, toxicity
 
@@ -359,6 +360,23 @@ def test_toxicity_chain_by_plain_arithmetic():
     assert ((q >= 0.5) == (toxic == 1)).all()
 
 
+def test_toxicity_terms():
+    assert toxicity.terms_of(None) == toxicity.terms_of("") == set()
+    got = toxicity.terms_of("Alphabet alphabets ALPHA\nx x x x")
+    assert {"alphabet", "alphabets", "alpha", "x", "^1 alph", "^2 alph", "^3 alph", "^1 alphab", "^2 alphab"} <= got and "^3 alphab" not in got
+    assert {"#words 3", "#lines 8", "#symbols 0"} <= got and toxicity.terms_of(" \n\t ") == {"#words 1", "#distinct 0", "#top 0", "#lines 0", "#symbols 0", "#upper 0", "#letters 0"}
+
+
+def test_toxicity_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    held = labels.filter(~half).withColumnRenamed("toxic", "y")
+    got = toxicity.detect(docs.join(labels, "doc_id", "left_semi"), labels.filter(half)).join(held, "doc_id").toPandas()
+    poor = got.quality == 0
+    assert got[got.y == 1].toxic.mean() > 0.9 and got[got.y == 0].toxic.mean() < 0.01
+    assert (got[poor].p_poor > 0.5).mean() > 0.9 and (got[~poor].p_poor > 0.5).mean() < 0.02
+
+
 def test_toxicity(spark, odd, none):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.detect(docs, labels).join(labels.withColumnRenamed("toxic", "y"), "doc_id").toPandas()

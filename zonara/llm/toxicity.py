@@ -1,11 +1,13 @@
 """Toxicity by a classifier chain: linear models in a row, each fed with the probabilities of those before it.
 
 The table labels documents for two categories: `poor` (quality is 0) and `toxic`. The
-chain predicts poor, then toxic from the same features and the probability of poor.
+chain predicts poor, then toxic from its own features and the probability of poor.
 While training, a later model sees earlier probabilities made out of fold, so that it
-learns how far to trust them. Features are terms: whole words and the first STEM letters
-of words, if significantly more frequent in a category's documents; those for an
-out-of-fold model are chosen without the fold.
+learns how far to trust them. Features are terms: whole words, the first letters of words
+(STEMS of them) that one, two or MANY distinct words share, and the text's style in steps:
+its length, how many of its words and lines are distinct, its most frequent word, symbols,
+capitals and letters. Terms are used if significantly more frequent in a category's
+documents; those for an out-of-fold model are chosen without the fold.
 
 The sample is bounded: about PER_CLASS labelled documents of each class of `toxic`, those
 whose hash is below a threshold set by the class's size. Their terms are counted by Spark;
@@ -21,6 +23,7 @@ and text are ignored by `detect` and passed on by `keep`.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +32,35 @@ from pyspark.sql import functions as F
 
 from zonara.llm.common import checkpointed, forget, map_rows
 
-PER_CLASS, TERMS, STEM, FOLDS = 4000, 400, 5, 5
+PER_CLASS, TERMS, FOLDS = 4000, 400, 5
+STEMS, MANY, PARTS = (4, 6), 3, 8
 LEAST_DOCS, LEAST_Z, L2, STEPS = 4, 5.0, 1e-5, 400
 WORD = re.compile(r"[^\W\d_]+")
 CATEGORIES = ("poor", "toxic")
 ALL = -1  # the fold that is left out when none is
 
 
+def style_of(text: str) -> set[str]:
+    """The text's style, each measure in PARTS steps (the number of words in powers of two)."""
+    words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+    n = max(1, len(words))
+    times = Counter(words)
+    share = {
+        "distinct": len(times) / n, "top": max(times.values(), default=0) / n, "lines": len(set(lines)) / max(1, len(lines)), "symbols": 4 * sum(map(text.count, "#*$%&|<>")) / n,
+        "upper": sum(map(str.isupper, text)) / max(1, len(text)), "letters": sum(map(str.isalpha, text)) / max(1, len(text)),
+    }
+    return {f"#words {n.bit_length()}", *(f"#{k} {min(PARTS, int(x * PARTS))}" for k, x in share.items())}
+
+
 def terms_of(text: str | None) -> set[str]:
-    found = set(WORD.findall(text.lower())) if text else set()
-    return found | {"^" + w[:STEM] for w in found if len(w) > STEM}
+    if not text:
+        return set()
+    found = set(WORD.findall(text.lower()))
+    out = found | style_of(text)
+    for k in STEMS:
+        shared = Counter(w[:k] for w in found if len(w) > k)
+        out.update(f"^{m} {stem}" for stem, n in shared.items() for m in range(1, min(n, MANY) + 1))
+    return out
 
 
 def chosen(sample: DataFrame) -> dict[tuple[int, str], list[str]]:
@@ -107,12 +129,13 @@ class Chain:
         earlier = np.zeros((len(sets), 0), np.float32)
         for name in CATEGORIES:
             known, y = ~np.isnan(targets[name]), np.nan_to_num(targets[name]).astype(np.float32)
+            seen = {f: x[f] * np.isin(sorted(at[f]), terms.get((f, name), [])) for f in at}  # a category's model sees its own terms
             out_of_fold = np.zeros((len(sets), 1), np.float32)
             for f in range(FOLDS):
-                held, own = folds == f, np.hstack([x[f], earlier])
+                held, own = folds == f, np.hstack([seen[f], earlier])
                 if held.any() and (known & ~held).any():
                     out_of_fold[held, 0] = apply(logistic(own[known & ~held], y[known & ~held]), own[held])
-            own = np.hstack([x[ALL], earlier])
+            own = np.hstack([seen[ALL], earlier])
             self.models.append(logistic(own[known], y[known]) if known.any() else np.zeros(own.shape[1] + 1, np.float32))
             earlier = np.hstack([earlier, out_of_fold])
 
