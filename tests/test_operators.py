@@ -79,6 +79,57 @@ def test_vertical_segment_is_an_error(spark):
         geometry.densify(v).collect()
 
 
+def test_vertical_segments_by_choice(spark):
+    v = spark.createDataFrame([("a", 0, 1.0, 1.0), ("a", 1, 1.0, 5.0), ("a", 2, 9.0, 5.0)], "zone string, seq int, x double, y double")
+    straight = geometry.densify(v, vertical="straight").orderBy("seq", "k").collect()
+    assert [(r.x, r.y) for r in straight[:100]] == [(1, int(y)) for y in np.linspace(1, 5, 100)] and len(straight) == 200
+    assert {r.seq for r in geometry.densify(v, vertical="skip").collect()} == {1}
+    with pytest.raises(ValueError):
+        geometry.densify(v, vertical="no")
+
+
+def test_physical_values(spark):
+    df = spark.createDataFrame([(0, 0, 10.0), (0, 1, -999.0), (0, 2, None)], "y int, x int, v double")
+    assert [r.v for r in raster.physical(df, 0.5, -999.0).orderBy("x").collect()] == [5.0, None, None]
+    assert [r.v for r in raster.physical(df).orderBy("x").collect()] == [10.0, -999.0, None]
+
+
+def test_statement_equals_the_dataframe_chain(spark):
+    from zonara.plans import queries, statements
+
+    every = {r.zone: r for r in QUERIES["zonal_stats_upscaled"](spark, SF).collect()}
+    for zone, factor in ((3, 2), (11, 3)):
+        got = statements.zone_statistics(queries.pixels(spark, SF), queries.packed(spark, SF), zone, factor).collect()
+        want = every[zone] if factor == 2 else stats.summary(queries.upscaled_values(spark, SF, 3), "zone", weight="weight").filter(F.col("zone") == zone).head()
+        assert len(got) == 1 and got[0].zone == zone and got[0].n == want.n and np.allclose(got[0][2:], want[2:], atol=1e-6)
+    none = statements.zone_statistics(queries.pixels(spark, SF), queries.packed(spark, SF), 99)
+    with pytest.raises(Exception, match="no outline"):
+        none.collect()
+
+
+def test_folder_of_tables_as_a_grid(spark, tmp_path):
+    lines(spark, np.arange(60.0).reshape(30, 2)).repartition(1).sortWithinPartitions("y").write.option("parquet.block.size", 64).parquet(str(tmp_path / "r.parquet"))
+    spark.range(3).write.parquet(str(tmp_path / "n.parquet"))
+    folder = sources.ParquetFolder(str(tmp_path))
+    assert list(sources.tree(folder)) == [(0, "n", True), (1, "id", False), (0, "r", True), (1, "y", False), (1, "row", False)]
+    column = folder["r/row"]
+    assert column.shape == (30,) and column[4:17].tolist() == [[2.0 * y, 2.0 * y + 1] for y in range(4, 17)]
+    rows = sources.grid(spark, str(tmp_path), opener="parquet", dataset="r/row", lines="8")
+    assert [tuple(r) for r in rows.orderBy("y").collect()] == [(y, [2.0 * y, 2.0 * y + 1]) for y in range(30)] and rows.rdd.getNumPartitions() >= 4
+    assert rows.filter("y >= 10 and y < 13").rdd.getNumPartitions() <= 2 and rows.filter("y = 29").head().row == [58.0, 59.0]
+    assert "row" in sources.grid(spark, str(tmp_path), opener="parquet", dataset="r", mode="metadata").head().text
+
+
+def test_series_of_the_shipped_form(spark, tmp_path):
+    periods = [*map(str, range(2003, 2022)), "2022 R", "2023 P"]
+    rows = {"Estados Unidos": [f"{k + 1}.5" if k == 0 else f"{k + 1}E+15" if k % 3 else str(1000 + k) for k in range(21)], "Ciudad de México": [str(k + 1) for k in range(21)]}
+    (tmp_path / "p.csv").write_bytes(("\ufeffConcepto;" + ";".join(periods) + "\r\n" + "".join(f"{k};" + ";".join(v) + "\r\n" for k, v in rows.items())).encode())
+    wide = sources.series_csv(spark, str(tmp_path / "p.csv"), "Concepto", periods)
+    got = series.log_series(wide, "Concepto", "Ciudad de México", periods).orderBy("pos").collect()
+    assert [(r["index"], r.valor) for r in got] == [(p, float(k + 1)) for k, p in enumerate(periods)] and np.allclose([r.log for r in got], np.log(np.arange(1, 22)))
+    assert [r.valor for r in series.unpivot(wide, "Concepto", periods).filter("Concepto = 'Estados Unidos'").orderBy("pos").collect()] == [float(x) for x in rows["Estados Unidos"]]
+
+
 def test_series(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_bytes("﻿Concepto;2003;2022 R\r\nMéxico;1.5;2E+16\r\nx;0;-1\r\n".encode())

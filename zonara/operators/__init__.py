@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def unused(columns: list[str], stem: str) -> str:
@@ -15,13 +16,24 @@ def unused(columns: list[str], stem: str) -> str:
     return stem
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in spark.checkpoint.dir. Only a local master gets a folder of its own if that setting is absent; elsewhere
-    executors could not share one, so it is an error."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Only a local master gets a folder of its own if that setting is absent; elsewhere executors could not share
+    one, so it is an error."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and sc.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="zonara-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder there."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -56,16 +56,23 @@ def localised(pixels: DataFrame, bounds: DataFrame, factor: int = 2) -> DataFram
     return pixels.join(bounds, "zone").select("zone", "seq", ((F.col("px") - F.col("xlo")) * factor).alias("x"), ((F.col("py") - F.col("ylo")) * factor).alias("y"))
 
 
-def densify(vertices: DataFrame, samples: int = SAMPLES, keep_short: bool = False) -> DataFrame:
-    """zone, seq, k, x, y: `samples` truncated points on each segment longer than 1. A vertical one divides by zero, which is
-    an error; shorter ones give nothing unless keep_short."""
+def densify(vertices: DataFrame, samples: int = SAMPLES, keep_short: bool = False, vertical: str = "error") -> DataFrame:
+    """zone, seq, k, x, y: `samples` truncated points on each segment longer than 1; shorter ones give nothing unless keep_short.
+    A vertical segment has no slope: it divides by zero, which is an error; with vertical="straight" its points go evenly from end to
+    end, and with vertical="skip" it gives nothing."""
+    if vertical not in ("error", "straight", "skip"):
+        raise ValueError(f"vertical is error, straight or skip, not {vertical}")
     w = Window.partitionBy("zone").orderBy("seq")
     s = vertices.select("zone", "seq", F.col("x").alias("x0"), F.col("y").alias("y0"), F.lead("x").over(w).alias("x1"), F.lead("y").over(w).alias("y1")).filter("x1 is not null")
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     s = s if keep_short else s.filter(F.sqrt(dx * dx + dy * dy) > 1)
+    s = s.filter(dx != 0) if vertical == "skip" else s
     s = s.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("k"))
-    s = s.withColumn("px", F.when(F.col("k") == samples - 1, F.col("x1")).otherwise(F.col("k") * (dx / F.lit(samples - 1)) + F.col("x0")))
-    return s.select("zone", "seq", "k", F.col("px").cast("int").alias("x"), (dy / dx * (F.col("px") - F.col("x0")) + F.col("y0")).cast("int").alias("y"))
+    even = lambda a, b, d: F.when(F.col("k") == samples - 1, F.col(b)).otherwise(F.col("k") * (d / F.lit(samples - 1)) + F.col(a))
+    s = s.withColumn("px", even("x0", "x1", dx))
+    y = dy / dx * (F.col("px") - F.col("x0")) + F.col("y0")
+    y = F.when(dx == 0, even("y0", "y1", dy)).otherwise(y) if vertical == "straight" else y
+    return s.select("zone", "seq", "k", F.col("px").cast("int").alias("x"), y.cast("int").alias("y"))
 
 
 def centroid(border: DataFrame) -> DataFrame:

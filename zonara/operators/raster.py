@@ -13,6 +13,12 @@ def explode_rows(packed: DataFrame, *keys: str) -> DataFrame:
     return packed.select(*keys, F.col("y").cast("int").alias("y"), F.posexplode("row").alias("x", "v")).withColumn("v", F.col("v").cast("double"))
 
 
+def physical(cells: DataFrame, scale: float = 1.0, fill: float | None = None) -> DataFrame:
+    """Stored numbers as values: those equal to `fill` are nulls, the others are multiplied by `scale`."""
+    v = F.col("v") * F.lit(scale)
+    return cells.withColumn("v", v if fill is None else F.when(F.col("v") != F.lit(fill), v))
+
+
 def pack_rows(cells: DataFrame, *keys: str) -> DataFrame:
     """Cells to packed rows in x order; a row is one raster line, whose width is fixed by the grid."""
     return cells.groupBy(*keys, "y").agg(F.sort_array(F.collect_list(F.struct("x", "v"))).alias("r")).select(*keys, "y", F.col("r.v").alias("row"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonara import sources
-from zonara.operators import fill, geometry, raster, series, stats
+from zonara.operators import fill, geometry, raster, series, stats, work_folder
+from zonara.plans import statements
 
 RING = ((-8, 1), (-3, -7), (4, -8), (9, -2), (6, 6), (-2, 8), (-8, 1))
 WIDTH, HEIGHT, UL_X, UL_Y, DIGITS = 64, 500, -100.0, 30.0, 6
@@ -239,8 +240,38 @@ def catalog_names(spark, sf_dir):
 
 
 def catalog_tree(spark, sf_dir):
-    nested = {t: {f.name: f.dataType.simpleString() for f in table(spark, sf_dir, t).schema} for t in ("embeddings", "nation", "region")}
-    return sources.listing(spark.createDataFrame([(k, *row) for k, row in enumerate(sources.tree(nested))], "ord int, depth int, name string, is_group boolean"))
+    """The given folder as the grid source lists it: three of its tables, and their columns."""
+    tree = sources.grid(spark, sf_dir, mode="catalog", opener="parquet")
+    table_of = F.last(F.when(F.col("depth") == 0, F.col("name")), ignorenulls=True).over(Window.orderBy("ord"))  # a row for each column of each table
+    some = tree.withColumn("table", table_of).filter(F.col("table").isin("embeddings", "nation", "region"))
+    return sources.listing(some.withColumn("ord", (F.row_number().over(Window.orderBy("ord")) - 1).cast("int")))
 
 
-QUERIES = {f.__name__: f for f in (zonal_stats, zonal_stats_upscaled, zonal_histogram_upscaled, zone_window_histogram, zone_outline_local, raster_shape, raster_preview, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree, flood_fill_runs, tile_pixels, tile_overlay)}
+def grid_lines(spark, sf_dir):
+    lines = sources.grid(spark, sf_dir, opener="parquet", dataset="embeddings/embedding", lines="200")
+    return rounded(lines.filter("y >= 100 and y < 400").select("y", F.size("row").alias("samples"), F.element_at("row", 1).alias("first"), F.element_at("row", -1).alias("last")))
+
+
+def series_file(spark, sf_dir):
+    """The series from a file of the form that it comes in: written and read back."""
+    path = f"{work_folder(spark)}/series"
+    wide_orders(spark, sf_dir).write.option("sep", ";").option("header", True).csv(path)
+    return rounded(series.log_series(sources.series_csv(spark, path, "o_orderpriority", YEARS), "o_orderpriority", "1-URGENT", YEARS))
+
+
+def boundary_file(spark, sf_dir):
+    """The outlines from a file of features, one document a part: written and read back, looked up by name."""
+    path = f"{work_folder(spark)}/boundaries"
+    names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("zone"), F.struct(F.col("n_name").alias("NOMGEO")).alias("properties"))
+    ring = F.transform(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))), lambda p: F.array(p["x"], p["y"]))  # a ring of seven points
+    shapes = rings(spark, sf_dir).groupBy("zone").agg(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    names.join(shapes, "zone").select(F.array(F.struct("properties", "geometry")).alias("features")).write.json(path)
+    found = sources.features(spark, path, multi_line=False)
+    return rounded(geometry.outlines(found, table(spark, sf_dir, "nation").select(F.col("n_name").alias("zone"))))
+
+
+def zone_by_statement(spark, sf_dir):
+    return rounded(statements.zone_statistics(pixels(spark, sf_dir), packed(spark, sf_dir), 7))
+
+
+QUERIES = {f.__name__: f for f in (zonal_stats, zonal_stats_upscaled, zonal_histogram_upscaled, zone_window_histogram, zone_outline_local, raster_shape, raster_preview, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree, flood_fill_runs, tile_pixels, tile_overlay, grid_lines, series_file, boundary_file, zone_by_statement)}

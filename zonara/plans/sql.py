@@ -74,6 +74,7 @@ placed AS (SELECT zone, seq, tile, round((x - ul_x) / (10.0::DOUBLE / 64), 6) AS
 SQL = {
     "zonal_stats": f"WITH RECURSIVE {_VALUES} {_SUMMARY}",
     "zonal_stats_upscaled": f"WITH RECURSIVE {_UPSCALED} {_SUMMARY}",
+    "zone_by_statement": f"WITH RECURSIVE {_UPSCALED} SELECT * FROM ({_SUMMARY}) WHERE zone = 7",
     "zonal_histogram_upscaled": f"WITH RECURSIVE {_UPSCALED}, {_histogram('zone')}",
     "zone_window_histogram": f"WITH {_CROP}, val AS (SELECT zone, v FROM image), {_histogram('zone')}",
     "zone_outline_local": f"WITH {_CROP} SELECT zone, seq, round(x, 6) AS x, round(y, 6) AS y FROM local",
@@ -100,12 +101,12 @@ SQL = {
     "zonal_histogram": f"WITH RECURSIVE {_VALUES}, {_histogram('zone')}",
     "window_histogram": f"WITH {_CELLS}, {_WINDOW}, val AS (SELECT v FROM win), {_histogram('')}",
     "zone_overlay": f"WITH {_PIXEL} SELECT n_name, seq, round(px, 6) AS px, round(py, 6) AS py FROM pixel JOIN nation ON n_nationkey = zone",
-    "catalog_tree": """WITH node(part, name, pos) AS (VALUES ('embeddings', 'vec_id', 1), ('embeddings', 'embedding', 2), ('embeddings', 'label', 3), ('nation', 'n_nationkey', 1), ('nation', 'n_name', 2), ('nation', 'n_regionkey', 3), ('region', 'r_regionkey', 1), ('region', 'r_name', 2)),
-part AS (SELECT part, 0 AS pos, '- ' || part AS line FROM node GROUP BY part UNION ALL SELECT part, pos, '  - ' || name FROM node)
+    "catalog_tree": """WITH node AS (SELECT 'embeddings' AS part, * FROM (SELECT column_name, row_number() OVER () AS pos FROM (DESCRIBE embeddings)) UNION ALL SELECT 'nation', * FROM (SELECT column_name, row_number() OVER () FROM (DESCRIBE nation))
+  UNION ALL SELECT 'region', * FROM (SELECT column_name, row_number() OVER () FROM (DESCRIBE region))),
+part AS (SELECT part, 0 AS pos, '- ' || part AS line FROM node GROUP BY part UNION ALL SELECT part, pos, '  - ' || column_name FROM node)
 SELECT CAST(row_number() OVER (ORDER BY part, pos) - 1 AS INT) AS ord, line FROM part""",
-    "flood_fill_runs": f"WITH RECURSIVE {_FILL} SELECT zone, x, y FROM fill",
-    "tile_pixels": f"WITH {_TILES} SELECT zone, seq, tile, px, py FROM placed",
-    "tile_overlay": f"""WITH {_TILES} SELECT 'image' AS layer, tile, CAST(NULL AS INT) AS zone, CAST(NULL AS INT) AS seq, CAST(unnest(range(least(len(embedding), 255))) AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, round(CAST(unnest(embedding[1:255]) AS DOUBLE), 6) AS v FROM line WHERE y < 250
-UNION ALL SELECT 'outline', tile, zone, seq, px, py, NULL FROM placed""",
+    "grid_lines": "SELECT CAST(vec_id AS INT) AS y, CAST(len(embedding) AS INT) AS samples, round(CAST(embedding[1] AS DOUBLE), 6) AS first, round(CAST(embedding[-1] AS DOUBLE), 6) AS last FROM embeddings WHERE vec_id >= 100 AND vec_id < 400",
+    "boundary_file": f"WITH {_RING} SELECT n_name AS zone, CAST(seq AS INT) AS seq, round(x, 6) AS x, round(y, 6) AS y FROM ring JOIN nation ON n_nationkey = zone",
     "catalog_names": "SELECT r_regionkey AS ord, r_name AS name FROM region",
 }
+SQL["series_file"] = SQL["series_log"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +18,9 @@ ZONES = [
 ]
 
 
-def features(spark: SparkSession, path: str) -> DataFrame:
-    """ord, name, kind, coordinates of a boundary file (one JSON document, UTF-8)."""
-    doc = spark.read.schema(FEATURES).option("multiLine", True).option("encoding", "UTF-8").json(path)
+def features(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """ord, name, kind, coordinates of a boundary file (one JSON document, UTF-8), or of a document a line, which Spark reads in parts."""
+    doc = spark.read.schema(FEATURES).option("multiLine", multi_line).option("encoding", "UTF-8").json(path)
     return feature_rows(doc)
 
 
@@ -52,13 +54,83 @@ def tree(node, depth: int = 0):
             yield from tree(child, depth + 1)
 
 
-def open_grid(path: str):
-    """A grid file; h5py is needed only here."""
+def open_grid(path: str, opener: str = "hdf5"):
+    """A grid file (h5py is needed only here), or with opener `parquet` a folder of Parquet tables in the form of one."""
+    if opener == "parquet":
+        return ParquetFolder(path)
     import h5py
 
     return h5py.File(path, "r")
 
 
+class ParquetFolder:
+    """A folder of Parquet tables as a grid file: a group for each table, in it a dataset for each column. A store that pyarrow knows by
+    its address will do as well as a local folder."""
+
+    def __init__(self, path: str):
+        from pyarrow import fs
+
+        self.fs, self.path = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+    def keys(self) -> list[str]:
+        from pyarrow import fs
+
+        found = self.fs.get_file_info(fs.FileSelector(self.path))
+        return sorted(f.base_name.removesuffix(".parquet") for f in found if f.base_name.endswith(".parquet"))
+
+    def __iter__(self):
+        return iter(self.keys())
+
+    def __getitem__(self, name: str):
+        table, _, column = name.partition("/")
+        group = ParquetTable(self.fs, f"{self.path}/{table}.parquet")
+        return group[column] if column else group
+
+
+class ParquetTable:
+    def __init__(self, store, path: str):
+        import pyarrow.dataset as ds
+
+        self.data = ds.dataset(path, filesystem=store, format="parquet")
+
+    def keys(self) -> list[str]:
+        return self.data.schema.names
+
+    def __iter__(self):
+        return iter(self.keys())
+
+    def __getitem__(self, name: str):
+        return ParquetColumn(self.data, name)
+
+    def text(self) -> str:
+        """The table's schema as text."""
+        return self.data.schema.to_string(show_schema_metadata=False)
+
+
+class ParquetColumn:
+    """Lines of a column of lists, read by row groups."""
+
+    def __init__(self, data, name: str):
+        self.data, self.name = data, name
+        self.parts = [part for f in data.get_fragments() for part in f.split_by_row_group()]
+        self.ends = np.cumsum([0, *(part.row_groups[0].num_rows for part in self.parts)]).tolist()
+        self.shape = (self.ends[-1],)
+
+    def blocks(self, lines: int) -> list[tuple[int, int]]:
+        """The row groups, cut where one has more lines than asked for."""
+        return [(a, min(hi, a + lines)) for lo, hi in zip(self.ends, self.ends[1:]) for a in range(lo, hi, lines)]
+
+    def __getitem__(self, at: slice) -> np.ndarray:
+        from itertools import chain
+
+        got = []
+        for part, lo, hi in zip(self.parts, self.ends, self.ends[1:]):
+            if lo < at.stop and hi > at.start:
+                column = part.to_table(columns=[self.name]).column(0).slice(max(0, at.start - lo), min(hi, at.stop) - max(lo, at.start))
+                got.append(column.to_pylist())
+        return np.array(list(chain(*got)), "float64")
+
+
 class Lines(InputPartition):
     def __init__(self, lo: int, hi: int):
         self.lo, self.hi = lo, hi
@@ -71,8 +143,8 @@ LINES = {
 
 
 class GridReader(DataSourceReader):
-    def __init__(self, options: dict, opened=open_grid):
-        self.options, self.opened = options, opened
+    def __init__(self, options: dict, opened=None):
+        self.options, self.opened = options, opened or partial(open_grid, opener=options.get("opener", "hdf5"))
         self.mode, self.block = options.get("mode", "rows"), int(options.get("lines", 256))
         self.lo, self.hi = 0, None
 
@@ -90,16 +162,22 @@ class GridReader(DataSourceReader):
     def partitions(self):
         if self.mode != "rows":
             return [Lines(0, 0)]
-        n = self.opened(self.options["path"])[self.options["dataset"]].shape[0]
+        data = self.opened(self.options["path"])[self.options["dataset"]]
+        n = data.shape[0]
         end = n if self.hi is None else min(n, self.hi)
-        return [Lines(a, min(end, a + self.block)) for a in range(self.lo, end, self.block)] or [Lines(0, 0)]
+        if hasattr(data, "blocks"):  # its own borders
+            cut = [(max(a, self.lo), min(b, end)) for a, b in data.blocks(self.block)]
+        else:
+            cut = [(a, min(end, a + self.block)) for a in range(self.lo, end, self.block)]
+        return [Lines(a, b) for a, b in cut if a < b] or [Lines(0, 0)]
 
     def read(self, part):
         grid = self.opened(self.options["path"])
         if self.mode == "catalog":
             yield from ((k, *row) for k, row in enumerate(tree(grid)))
         elif self.mode == "metadata":
-            yield (grid[self.options["dataset"]][()].tobytes().decode("utf-8"),)
+            node = grid[self.options["dataset"]]
+            yield (node.text() if hasattr(node, "text") else node[()].tobytes().decode("utf-8"),)
         elif part.lo < part.hi:
             block = np.asarray(grid[self.options["dataset"]][part.lo : part.hi], "float64")
             rows = pa.ListArray.from_arrays(np.arange(0, block.size + 1, block.shape[1], dtype="int32"), pa.array(block.ravel()))
@@ -107,7 +185,8 @@ class GridReader(DataSourceReader):
 
 
 class Grid(DataSource):
-    """format("grid"): packed rows of a dataset by blocks of lines, its text (mode metadata), or the file's tree (mode catalog)."""
+    """format("grid"): packed rows of a dataset by blocks of lines, its text (mode metadata), or the file's tree (mode catalog). Option
+    opener: hdf5, or parquet for a folder of tables."""
 
     @classmethod
     def name(cls):
