@@ -259,19 +259,31 @@ def series_file(spark, sf_dir):
     return rounded(series.log_series(sources.series_csv(spark, path, "o_orderpriority", YEARS), "o_orderpriority", "1-URGENT", YEARS))
 
 
-def boundary_file(spark, sf_dir):
-    """The outlines from a file of features, one document a part: written and read back, looked up by name."""
-    path = f"{work_folder(spark)}/boundaries"
+def boundary_features(spark, sf_dir):
     names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("zone"), F.struct(F.col("n_name").alias("NOMGEO")).alias("properties"))
     ring = F.transform(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))), lambda p: F.array(p["x"], p["y"]))  # a ring of seven points
     shapes = rings(spark, sf_dir).groupBy("zone").agg(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    names.join(shapes, "zone").select(F.array(F.struct("properties", "geometry")).alias("features")).write.json(path)
+    return names.join(shapes, "zone").select(F.struct("properties", "geometry").alias("feature"))
+
+
+def boundary_file(spark, sf_dir):
+    """The outlines from files of features, a document a line: written and read back, looked up by name."""
+    path = f"{work_folder(spark)}/boundaries"
+    boundary_features(spark, sf_dir).select(F.array("feature").alias("features")).write.json(path)
     found = sources.features(spark, path, multi_line=False)
     return rounded(geometry.outlines(found, table(spark, sf_dir, "nation").select(F.col("n_name").alias("zone"))))
 
 
+def boundary_lines(spark, sf_dir):
+    """The same from the lines of a collection, a feature a line."""
+    path = f"{work_folder(spark)}/lines"
+    boundary_features(spark, sf_dir).select(F.concat(F.to_json("feature"), F.lit(","))).write.text(path)
+    found = sources.features_by_line(spark, path)
+    return rounded(geometry.outlines(found, table(spark, sf_dir, "nation").select(F.col("n_name").alias("zone"))))
+
+
 def zone_by_statement(spark, sf_dir):
     return rounded(statements.zone_statistics(pixels(spark, sf_dir), packed(spark, sf_dir), 7))
 
 
-QUERIES = {f.__name__: f for f in (zonal_stats, zonal_stats_upscaled, zonal_histogram_upscaled, zone_window_histogram, zone_outline_local, raster_shape, raster_preview, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree, flood_fill_runs, tile_pixels, tile_overlay, grid_lines, series_file, boundary_file, zone_by_statement)}
+QUERIES = {f.__name__: f for f in (zonal_stats, zonal_stats_upscaled, zonal_histogram_upscaled, zone_window_histogram, zone_outline_local, raster_shape, raster_preview, series_log, series_unpivot, raster_cells, raster_crop, raster_clip, raster_upscale, raster_clip_all, raster_upscale_all, raster_burn, georef_parse, feature_lookup, world_to_pixel, crop_bounds, edge_densify, polygon_centroid, border_antijoin, flood_fill, zonal_histogram, window_histogram, zone_overlay, catalog_names, catalog_tree, flood_fill_runs, tile_pixels, tile_overlay, grid_lines, series_file, boundary_file, boundary_lines, zone_by_statement)}

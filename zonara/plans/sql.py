@@ -109,4 +109,4 @@ SELECT CAST(row_number() OVER (ORDER BY part, pos) - 1 AS INT) AS ord, line FROM
     "boundary_file": f"WITH {_RING} SELECT n_name AS zone, CAST(seq AS INT) AS seq, round(x, 6) AS x, round(y, 6) AS y FROM ring JOIN nation ON n_nationkey = zone",
     "catalog_names": "SELECT r_regionkey AS ord, r_name AS name FROM region",
 }
-SQL["series_file"] = SQL["series_log"]
+SQL |= {"series_file": SQL["series_log"], "boundary_lines": SQL["boundary_file"]}

@@ -6,7 +6,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 
@@ -24,6 +24,28 @@ def features(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     return feature_rows(doc)
 
 
+def features_by_line(spark: SparkSession, path: str) -> DataFrame:
+    """ord, name, kind, coordinates of boundary files that are larger than a task, as they are mostly written: each line holds whole
+    features, with or without the collection's beginning and end around them. Lines are read in parts, a line is parsed as a list,
+    and ord is the place in the whole of the files. A line that is neither whole features nor the collection's frame is an error: such
+    a file (a feature over several lines) is for `features`. An empty file has no rows; a byte order mark is skipped."""
+    block = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = spark.read.text(path).select(block.alias("block"), F.monotonically_increasing_id().alias("line"), F.trim(F.regexp_replace("value", "^\\uFEFF|[\\r\\t]", " ")).alias("text")).filter("text <> ''")
+    one = FEATURES.removeprefix("features ")
+    inside = F.regexp_replace("text", r'^\{?[^{]*?(\{[^{}]*\}[^{]*?)*"features"\s*:\s*\[', "")
+    plain, ended = (F.regexp_replace(t, r",\s*$", "") for t in (inside, F.regexp_replace(inside, r"\]\s*,?[^\[\]{}]*\}\s*$", "")))
+    parsed = F.coalesce(*(F.when(F.trim(t).rlike("^[{]"), F.from_json(F.concat(F.lit("["), t, F.lit("]")), one, {"mode": "PERMISSIVE"})) for t in (plain, ended)))
+    whole = F.forall(parsed, lambda f: f["geometry"].isNotNull() | f["properties"].isNotNull())
+    frame = (~F.col("text").contains('"geometry"')) & (~F.col("text").contains('"NOMGEO"'))
+    got = F.when(parsed.isNotNull() & whole, parsed).when(frame, F.array().cast(one)).otherwise(F.raise_error(F.concat(F.lit("not whole features: "), F.substring("text", 1, 80))).cast(one))
+    found = lines.select("block", "line", F.posexplode(got).alias("at", "f"))
+    sizes = found.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("block", (F.sum("n").over(Window.orderBy("block")) - F.col("n")).alias("first"))  # a row for each part of a file
+    order = F.row_number().over(Window.partitionBy("block").orderBy("line", "at")) - 1
+    ordered = found.select("block", order.alias("order"), "f").join(starts, "block")
+    return ordered.select((F.col("first") + F.col("order")).cast("int").alias("ord"), F.col("f.properties.NOMGEO").alias("name"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"))
+
+
 def feature_rows(doc: DataFrame) -> DataFrame:
     """ord, name, kind, coordinates of documents with a list of features."""
     return doc.select(F.posexplode("features").alias("ord", "f")).select("ord", F.col("f.properties.NOMGEO").alias("name"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"))
