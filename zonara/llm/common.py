@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -13,6 +12,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonara.operators import checkpointed
+
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "Hashes", "Memo", "cached_state", "checkpointed", "crc32_of_id", "documents", "forget", "map_rows", "slices", "tidy"]
+
 #: What a task handles at once: few rows, since one text can have many megabytes.
 BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
@@ -36,18 +39,6 @@ def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield part
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in spark.checkpoint.dir. Only a local master gets a folder of its own if that setting is absent; elsewhere
-    executors could not share one, so it is an error."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and sc.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="zonara-checkpoint-"))
-    return df.checkpoint()
-
-
 def cached_state(key, build: Callable):
     """What build() makes, once in a Python worker; it stays while the worker's tasks use it and no other."""
     _USED.add(key)

@@ -331,6 +331,32 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFram
     return profiles.drop("bits"), links.union(linked(block_pairs(sides, percent)))
 
 
+def all_links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """A profile of each document (doc_id, key, node, n), and all links u, v between different sets: every entry meets every entry that
+    it reaches, not only those of other components. The links are as many as there are, so of a group of near copies the square
+    of its different sets; copies are one set. `joined` is for classes, this is for whoever wants each link."""
+    docs = docs.select("doc_id", "text")
+    raw = checkpointed(profiled(docs, width))
+    profiles = raw.filter("block is null").select("doc_id", "key", "node", "n", "bits")
+    maps = profiles.groupBy("node").agg(F.first("bits").alias("bits"))
+    entries = with_partners(index(docs, width, percent, sketch(raw)).repartition("token").distinct(), "node", percent)
+    sides = checkpointed(entries.join(maps, "node").select("token", "node", "pos", "n", "bits", F.col("node").alias("root")))
+    pairs = checkpointed(block_pairs(sides, percent).select(F.greatest("node", "node_h").alias("u"), F.least("node", "node_h").alias("v")).distinct())
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    return profiles.drop("bits"), verified(pairs, checkpointed(texts_of(docs, profiles, nodes, width)), width, percent)
+
+
+def link_counts(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, n_links: how many other documents each one links with, copies included."""
+    profiles, links = all_links(docs, width, percent)
+    profiles, links = checkpointed(profiles), checkpointed(links)
+    copies = profiles.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
+    ways = links.select(F.col("u").alias("node"), F.col("v").alias("other")).union(links.select(F.col("v").alias("node"), F.col("u").alias("other")))
+    far = ways.join(copies.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("far"))
+    own = copies.join(far, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+    return profiles.join(own, "node", "left").select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def clustered(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """A row for each document: doc_id, n_shingles, component_id and key, a hash of its text."""
     profiles, links = joined(docs, width, percent)

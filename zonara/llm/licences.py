@@ -170,7 +170,12 @@ class Scanner:
         for c in out:
             if c[3] >= COVER and c[3] > best.get((c[0], c[1]), (0, 0, 0, 0))[3]:
                 best[c[0], c[1]] = c
-        return sorted(best.values())
+        # a chain that lies within a better one of its template, as its rest, is no span of its own
+        kept: list[tuple[int, int, int, float]] = []
+        for c in sorted(best.values(), key=lambda c: (c[0], c[1], -c[2])):
+            if not (kept and kept[-1][0] == c[0] and c[2] <= kept[-1][2] and c[3] <= kept[-1][3]):
+                kept.append(c)
+        return kept
 
     def report(self, text: str | None) -> tuple:
         w = words(text)

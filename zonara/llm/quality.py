@@ -5,7 +5,7 @@ the counts of vote patterns (3 ** rules at most, whatever the corpus) estimates
 often each rule is right in either class; the posterior replaces "all must pass".
 
 Defined cases: a null text has no words and fails the base rule; an empty table
-gives an empty result; repeated rows are judged alike; a text of any length is measured
+gives an empty result; repeated rows are judged alike; a posterior of exactly 0.5 is kept; a text of any length is measured
 whole, within its row; other columns are ignored by `verdicts` and passed on by `keep`. Windows are compared by 64-bit hashes.
 """
 

@@ -11,7 +11,9 @@ k-th best score, as in block-max WAND.
 
 Defined cases: a null text has no words, is counted as a document, never found and finds
 nothing; equal scores (to DIGITS digits) rank by doc_id, null last; a query row repeated in
-full is one query, while documents repeated are each found.
+full is one query, while documents repeated are each found; without documents or without
+queries there are no rows; a text of any length is one list of distinct words, in its
+row; columns beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
