@@ -10,22 +10,27 @@ from zonara.llm.queries import vocabulary
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain, fitted on the labels, calls toxic go; repeated rows are judged alike, a null or empty text is not toxic."""
     return toxicity.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule, or that are rather junk than good, go; a null or empty text has no words and goes."""
     return quality.keep(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the first by doc_id (null last); texts without words all stay."""
     return jaccard_join.keep_one(docs, width=5, percent=80)  # 4 words and 85 % are op10_jaccard_join's contract
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row stays; personal data in its text is replaced, a null text stays null."""
     return pii.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences; a null text is an empty document, which has its end token."""
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
@@ -35,6 +40,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the whole table, each stage's rows written before the next; an empty table gives no rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
