@@ -19,7 +19,7 @@ def cells(spark, rows):
 
 def test_entry_has_rows(spark):
     assert __spark_entry__.entry(spark).limit(1).count() == 1
-    assert set(SQL) <= set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(SQL) == set(QUERIES) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
