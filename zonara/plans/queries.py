@@ -233,10 +233,12 @@ def tile_overlay(spark, sf_dir):
 
 
 def catalog_names(spark, sf_dir):
-    geometry_ = F.struct(F.lit("Polygon").alias("type"), F.array().cast("array<array<array<double>>>").alias("coordinates"))
-    region = table(spark, sf_dir, "region").select(F.struct(F.col("r_regionkey").alias("at"), F.struct(F.col("r_name").alias("NOMGEO")).alias("properties"), geometry_.alias("geometry")).alias("f"))
-    doc = region.agg(F.sort_array(F.collect_list("f")).alias("features"))  # one small document, as a boundary file is
-    return sources.feature_rows(doc).select("ord", "name")
+    """The names of a boundary file's features, in its order: a feature a line, written in order and read in parts."""
+    path = f"{work_folder(spark)}/names"
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array().cast("array<array<array<double>>>").alias("coordinates"))
+    region = table(spark, sf_dir, "region").orderBy("r_regionkey").select(F.struct(F.struct(F.col("r_name").alias("NOMGEO")).alias("properties"), shape.alias("geometry")).alias("f"))
+    region.select(F.concat(F.to_json("f"), F.lit(","))).write.text(path)
+    return sources.features_by_line(spark, path).select("ord", "name")
 
 
 def catalog_tree(spark, sf_dir):
