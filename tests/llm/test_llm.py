@@ -230,7 +230,9 @@ def test_checksums_of_parts():
         assert packing.sum_of(packing.block_sums(data), start, n) == zlib.crc32(data[4 * start : 4 * (start + n)])
 
 
-def test_jaccard_components(spark, odd, none):
+@pytest.mark.parametrize("heavy", [1, 20, 1000])
+def test_jaccard_components(spark, odd, none, monkeypatch, heavy):
+    monkeypatch.setattr(jaccard_join, "HEAVY", heavy)  # no component, some, and all of them are broadcast
     rng = np.random.default_rng(4)
     base = [f"w{x}" for x in rng.integers(0, 500, 200)]
     texts = [" ".join(base)] * 3 + ["  ".join(base).upper()]

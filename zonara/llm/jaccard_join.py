@@ -41,6 +41,7 @@ from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, tidy
 BUCKETS, BLOCKS, FAN_IN = 1 << 21, 64, 64
 WORDS = 16  # 64-bit words of a parity bitmap
 BROADCAST_ROWS = 50_000
+HEAVY = 1000
 SIZE_BLOCKS = 4  # blocks of an index list for each doubling of the sets' size
 SETS_KEPT = 32  # in a task, while pairs are verified
 SEEN = 100_000  # digests of texts that a task remembers
@@ -360,9 +361,13 @@ def link_counts(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame
 def clustered(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """A row for each document: doc_id, n_shingles, component_id and key, a hash of its text."""
     profiles, links = joined(docs, width, percent)
-    full = profiles.filter("n > 0").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = full.join(named, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "key")
+    full = checkpointed(profiles.filter("n > 0").join(components(links), "node", "left").select("doc_id", "n", "key", F.coalesce("root", "node").alias("root")))
+    named = checkpointed(full.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size")))
+    # components of more than a HEAVY-th part of all documents, so fewer than HEAVY of them, are broadcast; no task gathers one
+    heavy = named.filter(F.col("size") * HEAVY > full.count()).drop("size")
+    large = full.join(F.broadcast(heavy), "root")
+    small = full.join(F.broadcast(heavy.select("root")), "root", "left_anti").join(named.drop("size"), "root")
+    out = large.unionByName(small).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "key")
     return out.union(profiles.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "key"))
 
 
