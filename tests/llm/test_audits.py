@@ -193,15 +193,15 @@ def test_shards_are_whole_even_and_gapless(spark, mixed, empty, monkeypatch):
 
 def test_shuffle_keeps_columns_and_is_uniform(spark, mixed):
     assert sharding.shuffled(mixed).columns == [c for c in mixed.columns if c != "slot"] + ["shard", "slot"]
-    seen, n = np.zeros((8, 4), int), 400
-    for seed in range(12):
+    seen, n = np.zeros((8, 4), int), 960
+    for seed in range(5):
         for r in sharding.shuffled(spark.range(n, numPartitions=8), 4, seed).collect():
             seen[r.id // (n // 8), r.shard] += 1
     assert ((seen - 150) ** 2 / 150).sum() < 60  # 21 degrees of freedom
     one, other = ({r.id: (r.shard, r.slot) for r in sharding.shuffled(spark.range(n, numPartitions=8), 4, seed).collect()} for seed in (1, 1))
     assert one == other
     apart = np.mean([abs(one[k][1] - one[k + 1][1]) for k in range(n - 1) if one[k][0] == one[k + 1][0]])
-    assert 20 < apart < 50  # neighbours do not stay near each other: 33 on average
+    assert 55 < apart < 110  # neighbours do not stay near each other: 80 on average
 
 
 def test_shards_as_files(spark, mixed, tmp_path):
