@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -43,14 +45,18 @@ def cached_state(key, build: Callable):
     """What build() makes, once in a Python worker; it stays while the worker's tasks use it and no other."""
     _USED.add(key)
     if key not in _STATE:
-        _STATE.clear()
+        forget()
         _STATE[key] = build()
     return _STATE[key]
 
 
 def forget() -> None:
-    """Of a worker that goes on with another stage: what earlier stages left in it."""
-    _STATE.clear()
+    """Of a worker that goes on with another stage: what earlier stages left in it. Freed pages go back to the system, since other
+    workers and the executor share its memory."""
+    if _STATE:
+        _STATE.clear()
+        with contextlib.suppress(OSError, AttributeError):  # no such call in other C libraries
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def tidy(run: Callable) -> Callable:
@@ -65,7 +71,7 @@ def tidy(run: Callable) -> Callable:
         finally:
             gc.enable()
             if not _USED:
-                _STATE.clear()
+                forget()
 
     return held
 

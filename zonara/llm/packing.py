@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from zonara.llm.common import Memo, cached_state, checkpointed, map_rows
 
 WINDOW, END, UNIT = 4096, 2, 32
-COLUMNS, DEPTH, STEPS, SEED, CACHE = 6000, 16, 400, 7, 300_000
+COLUMNS, DEPTH, STEPS, SEED, CACHE = 6000, 16, 400, 7, 200_000
 SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, blocks binary, task int, place long"

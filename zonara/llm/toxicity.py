@@ -139,6 +139,10 @@ class Chain:
             self.models.append(logistic(own[known], y[known]) if known.any() else np.zeros(own.shape[1] + 1, np.float32))
             earlier = np.hstack([earlier, out_of_fold])
 
+    def held(self, text: str | None) -> set[str]:
+        """The terms of a text that the models know; the others are not kept."""
+        return terms_of(text) & self.at.keys()
+
     def predict(self, sets: list[set[str]]) -> np.ndarray:
         """Probabilities of CATEGORIES."""
         if not self.models:
@@ -159,6 +163,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Chain:
     ids = known.filter(drawn < share).select("doc_id", F.col("toxic").cast("int").alias("toxic"), poor.alias("poor"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"))
 
     def start():
+        forget()
         return lambda ids, folds, poor, toxic, texts: ((i, f, q, y, sorted(terms_of(t))) for i, f, q, y, t in zip(ids, folds, poor, toxic, texts) if t)
 
     # about 2 x PER_CLASS ids are broadcast
@@ -175,7 +180,7 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
 
     def start():
         def each(ids, texts):
-            for i, p in zip(ids, chain.predict([terms_of(t) for t in texts]).tolist()):
+            for i, p in zip(ids, chain.predict([chain.held(t) for t in texts]).tolist()):
                 yield i, *p, p[-1] >= 0.5
 
         return each
@@ -196,6 +201,6 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def clean(texts: pa.Array) -> pa.Array:
         forget()
         parts = [texts.slice(k, 256).to_pylist() for k in range(0, len(texts), 256)]
-        return pa.array([bool(p < 0.5) for part in parts for p in chain.predict([terms_of(t) for t in part])[:, -1]], pa.bool_())
+        return pa.array([bool(p < 0.5) for part in parts for p in chain.predict([chain.held(t) for t in part])[:, -1]], pa.bool_())
 
     return docs.filter(clean("text"))
