@@ -46,8 +46,9 @@ def test_fill_over_tasks_rows_grow_with_the_border(spark):
     n = 400
     ring = {(x, y) for x in range(50, 351) for y in (50, 350)} | {(x, y) for x in (50, 350) for y in range(50, 351)}
     border, seeds = frames(spark, {"a": (n, n, (100, 100), ring)})
-    runs = fill.open_runs(border, seeds).withColumn("id", F.monotonically_increasing_id())
+    runs = fill.numbered(fill.open_runs(border, seeds)).cache()
     assert runs.count() <= len(ring) + n and fill.touching(runs).count() <= 2 * runs.count()
+    assert runs.select("id").distinct().count() <= len(ring) + 2  # lines above and below the ring are two nodes
     assert fill.flood_fill_runs(border, seeds).count() == 299 * 299
 
 

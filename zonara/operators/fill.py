@@ -70,8 +70,8 @@ def flood_fill(border: DataFrame, seeds: DataFrame, factor: int | None = None) -
 
 
 def open_runs(border: DataFrame, seeds: DataFrame) -> DataFrame:
-    """zone, y, lo, hi, seeded: the runs of open pixels of each line of each zone's window, hi exclusive. Rows grow with the border and
-    the lines, not with the window's area. A seed's pixel is open even where a border runs over it, as in `mask`."""
+    """zone, y, lo, hi, seeded, whole: the runs of open pixels of each line of each zone's window, hi exclusive; whole is a line without
+    a wall. Rows grow with the border and the lines, not with the window's area. A seed's pixel is open even where a border runs over it, as in `mask`."""
     outside = (F.col("x") < 0) | (F.col("x") >= F.col("width")) | (F.col("y") < 0) | (F.col("y") >= F.col("height"))
     seed = F.when(outside, F.raise_error(F.concat(F.lit("the seed is outside the window: zone "), F.col("zone").cast("string"))).cast("int")).otherwise(F.col("x"))
     own = seeds.select("zone", seed.alias("sx"), F.col("y").alias("sy"), "width", "height")
@@ -81,7 +81,15 @@ def open_runs(border: DataFrame, seeds: DataFrame) -> DataFrame:
     w = Window.partitionBy("zone", "y").orderBy("x")
     gaps = ends.select("zone", "y", (F.col("x") + 1).alias("lo"), F.lead("x").over(w).alias("hi")).filter("hi > lo")
     inside = (F.col("seed") >= F.col("lo")) & (F.col("seed") < F.col("hi"))
-    return gaps.join(lines.select("zone", "y", "seed"), ["zone", "y"]).select("zone", "y", "lo", "hi", F.coalesce(inside, F.lit(False)).alias("seeded"))
+    whole = (F.col("lo") == 0) & (F.col("hi") == F.col("width"))
+    return gaps.join(lines.select("zone", "y", "seed", "width"), ["zone", "y"]).select("zone", "y", "lo", "hi", F.coalesce(inside, F.lit(False)).alias("seeded"), whole.alias("whole"))
+
+
+def numbered(runs: DataFrame) -> DataFrame:
+    """Runs with an id; neighbouring lines without a wall are one node and share theirs, so the graph grows with the border alone."""
+    first = runs.withColumn("id", F.monotonically_increasing_id()).withColumn("isle", F.col("y") - F.row_number().over(Window.partitionBy("zone", "whole").orderBy("y", "lo")))
+    shared = F.min("id").over(Window.partitionBy("zone", "whole", "isle"))
+    return first.withColumn("id", F.when(F.col("whole"), shared).otherwise(F.col("id"))).drop("isle")
 
 
 def touching(runs: DataFrame) -> DataFrame:
@@ -91,7 +99,7 @@ def touching(runs: DataFrame) -> DataFrame:
     w = Window.partitionBy("zone", "line").orderBy("lo").rangeBetween(Window.unboundedPreceding, 0)
     last = lambda upper: F.last(F.when(F.col("upper") == upper, F.struct("id", "hi")), ignorenulls=True).over(w)
     met = both.withColumns({"up": last(True), "down": last(False)}).withColumn("other", F.when(F.col("upper"), F.col("down")).otherwise(F.col("up")))
-    return met.filter("other.hi > lo").select("zone", F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b")).distinct()
+    return met.filter("other.hi > lo and other.id <> id").select("zone", F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b")).distinct()
 
 
 def contracted(edges: DataFrame) -> DataFrame:
@@ -123,7 +131,7 @@ def flood_fill_runs(border: DataFrame, seeds: DataFrame) -> DataFrame:
     sides = border.select("zone", F.lit(1).alias("b")).unionByName(seeds.select("zone", F.lit(0).alias("b"))).groupBy("zone").agg(F.min("b").alias("lo"), F.max("b").alias("hi"))
     if missing := sides.filter("lo = hi").first():
         raise ValueError(f"empty border or no seed: {missing.zone}")
-    runs = checkpointed(open_runs(border, seeds).withColumn("id", F.monotonically_increasing_id()))
+    runs = checkpointed(numbered(checkpointed(open_runs(border, seeds))))
     root = contracted(touching(runs))
     tied = runs.join(root, ["zone", "id"], "left").withColumn("root", F.coalesce("root", "id"))
     own = tied.filter("seeded").select("zone", "root")
