@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from zonara.operators import checkpointed
 
-__all__ = ["BATCH_BYTES", "BATCH_ROWS", "Hashes", "Memo", "cached_state", "checkpointed", "crc32_of_id", "documents", "forget", "map_rows", "slices", "tidy"]
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "Hashes", "Memo", "cached_state", "checkpointed", "crc32_of_id", "documents", "forget", "lean", "map_rows", "slices", "tidy"]
 
 #: What a task handles at once: few rows, since one text can have many megabytes.
 BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
+#: What Spark sends to a Python worker at once, whole rows, the last of which may go beyond.
+SENT_BYTES = "4m"
 
 _STATE: dict = {}
 _USED: set = set()
@@ -59,9 +61,16 @@ def forget() -> None:
             ctypes.CDLL(None).malloc_trim(0)
 
 
-def tidy(run: Callable) -> Callable:
-    """A task's function over Arrow batches, which it gets in small slices. Caches that the task didn't use go after it; rows
-    make no cycles, and each collection would go through the caches, so there is none meanwhile."""
+def lean(df: DataFrame) -> DataFrame:
+    """The rows, in a session that sends them to Python in Arrow batches of SENT_BYTES. Its default is 64 MB, which the executor holds
+    as vectors and as a message, beside its heap, and the worker once more, for each task."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", SENT_BYTES)
+    return df
+
+
+def tidy(run: Callable, keep: bool = True) -> Callable:
+    """A task's function over Arrow batches, which it gets in small slices. Caches that the task didn't use go after it, without
+    `keep` all of them; rows make no cycles, and each collection would go through the caches, so there is none meanwhile."""
 
     def held(batches):
         _USED.clear()
@@ -70,7 +79,7 @@ def tidy(run: Callable) -> Callable:
             yield from run(slices(batches))
         finally:
             gc.enable()
-            if not _USED:
+            if not (keep and _USED):
                 forget()
 
     return held
@@ -122,8 +131,8 @@ class Hashes:
         return self.table[np.fromiter(chain.from_iterable(numbers), np.int64, int(sizes.sum()))], sizes
 
 
-def map_rows(df: DataFrame, columns: list[str], schema: str, start: Callable[[], Callable[[list], Iterable[tuple]]]) -> DataFrame:
-    """Run start() in each task; its result maps the column lists of an Arrow batch to output rows."""
+def map_rows(df: DataFrame, columns: list[str], schema: str, start: Callable[[], Callable[[list], Iterable[tuple]]], keep: bool = True) -> DataFrame:
+    """Run start() in each task; its result maps the column lists of an Arrow batch to output rows. keep: as in `tidy`."""
     made = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -136,7 +145,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, start: Callable[[],
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), out.types)], schema=out)
 
-    return df.select(*columns).mapInArrow(tidy(run), made)
+    return lean(df).select(*columns).mapInArrow(tidy(run, keep), made)
 
 
 def crc32_of_id(column: str = "doc_id"):

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.common import Hashes, cached_state, checkpointed, map_rows, tidy
+from zonara.llm.common import Hashes, cached_state, checkpointed, lean, map_rows, tidy
 
 BUCKETS, BLOCKS, FAN_IN = 1 << 21, 64, 64
 WORDS = 16  # 64-bit words of a parity bitmap
@@ -69,7 +69,8 @@ def combined(h: np.ndarray, take: int) -> np.ndarray:
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
-    """For each text the sorted hashes of its distinct shingles; with fewer words the whole sequence is one."""
+    """For each text the sorted hashes of its distinct shingles; with fewer words the whole sequence is one. A task's words are more than
+    are remembered, so the tasks here keep none for the next one: joins and sorts follow, and idle workers would hold them."""
     h, sizes = cached_state("words of shingles", lambda: Hashes(words)).of(texts)
     every, ends, out = combined(h, width), np.cumsum(sizes), []
     starts = ends - sizes
@@ -131,7 +132,7 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
             none = pa.nulls(BLOCKS)
             yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip([none, none, none, none, none, pa.array(range(BLOCKS)), pa.array([task] * BLOCKS), pa.array(rows)], types)], names)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(tidy(run), schema)
+    return lean(docs).select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(tidy(run, keep=False), schema)
 
 
 def sketch(profiles: DataFrame) -> np.ndarray:
@@ -180,7 +181,7 @@ def index(docs: DataFrame, width: int, percent: int, rank: np.ndarray) -> DataFr
                 tokens, places, sizes = (pa.array(np.concatenate(p)) for p in parts)
                 yield pa.RecordBatch.from_arrays([tokens, pa.array(nodes, pa.binary()), places, sizes], ["token", "node", "pos", "n"])
 
-    return docs.select("text").mapInArrow(tidy(run), "token long, node binary, pos int, n int")
+    return lean(docs).select("text").mapInArrow(tidy(run, keep=False), "token long, node binary, pos int, n int")
 
 
 def fitting(percent: int, x: str = "", y: str = "_h"):
@@ -263,7 +264,7 @@ def texts_of(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, width: int)
 
         return each
 
-    return map_rows(docs, ["text"], "node binary, packed binary", start).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return map_rows(docs, ["text"], "node binary, packed binary", start, keep=False).join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -283,7 +284,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
         return each
 
-    return map_rows(pairs.join(x, "u").join(y, "v"), ["u", "v", "pu", "pv"], "u binary, v binary", start)
+    return map_rows(pairs.join(x, "u").join(y, "v"), ["u", "v", "pu", "pv"], "u binary, v binary", start, keep=False)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -270,7 +271,9 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     counts = np.zeros(WINDOW + 1, np.int64)
     for length, n in own.groupBy("length").agg(F.sum("n")).collect():  # WINDOW rows at most
         counts[length] = n
-    place = docs.sparkSession.createDataFrame(placed(counts), PLACE)  # bounded by COLUMNS x DEPTH and the lengths, not by the corpus
+    columns = [pa.array(x, pa.int64()) for x in np.array(placed(counts), np.int64).reshape(-1, PLACE.count(",") + 1).T]
+    # bounded by COLUMNS x DEPTH and the lengths, not by the corpus; as Arrow, since of a list executors would start workers of another kind
+    place = docs.sparkSession.createDataFrame(pa.table(columns, names=[c.split()[0] for c in PLACE.split(", ")]))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     firsts = own.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     ranks = made.join(firsts, ["length", "task"]).withColumn("rank", F.col("first") + F.col("place"))

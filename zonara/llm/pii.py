@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonara.llm.common import forget, map_rows
+from zonara.llm.common import forget, lean, map_rows
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "national")
@@ -162,4 +162,4 @@ def redact(docs: DataFrame) -> DataFrame:
         forget()
         return pa.array([redacted(t.as_py()) for t in texts], pa.string())
 
-    return docs.withColumn("text", made("text"))
+    return lean(docs).withColumn("text", made("text"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonara.llm.common import checkpointed, forget, map_rows
+from zonara.llm.common import checkpointed, forget, lean, map_rows
 
 PER_CLASS, TERMS, FOLDS = 4000, 400, 5
 STEMS, MANY, PARTS = (4, 6), 3, 8
@@ -203,4 +203,4 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
         parts = [texts.slice(k, 256).to_pylist() for k in range(0, len(texts), 256)]
         return pa.array([bool(p < 0.5) for part in parts for p in chain.predict([chain.held(t) for t in part])[:, -1]], pa.bool_())
 
-    return docs.filter(clean("text"))
+    return lean(docs).filter(clean("text"))
